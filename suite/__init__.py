@@ -4,7 +4,7 @@ from importlib import import_module
 
 from suite.registry import ORACLES, QUERIES
 
-MODULES = ["kpis"]
+MODULES = ["kpis", "columns", "aggregates"]
 
 
 def _load() -> None:

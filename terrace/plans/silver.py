@@ -114,7 +114,7 @@ def observe_bronze(bronze: DataFrame, observation: Observation) -> DataFrame:
     return bronze.observe(observation, F.count("*").alias("records_received"), total.alias("nulls_handled"))
 
 
-def silver_metrics(bronze: DataFrame, as_of_year: int) -> DataFrame:
+def silver_metrics(bronze: DataFrame) -> DataFrame:
     """Received, duplicates removed, nulls handled, failed dates and written, in one pass as one row.
 
     The counts describe exactly what :func:`build_silver` keeps: duplicates

@@ -130,8 +130,12 @@ def _app(spark: SparkSession) -> str:
     return spark.sparkContext.applicationId
 
 
+def bronze_path(spark: SparkSession, sf: str) -> str:
+    return _bronze_path(_app(spark), sf)
+
+
 def bronze(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(_bronze_path(_app(spark), sf))
+    return spark.read.parquet(bronze_path(spark, sf))
 
 
 def titles(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,7 +4,7 @@ from importlib import import_module
 
 from suite.registry import ORACLES, QUERIES
 
-MODULES = ["kpis", "columns", "aggregates", "storage", "checks", "history"]
+MODULES = ["kpis", "columns", "aggregates", "storage", "checks", "history", "runs", "statistics", "metricset"]
 
 
 def _load() -> None:

@@ -12,14 +12,10 @@ from terrace.session import workspace
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a readable Parquet table is at ``path``."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    """Whether something is stored at ``path``, on whatever file system it names."""
+    sc = spark.sparkContext
+    location = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(sc._jsc.hadoopConfiguration()).exists(location)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:

@@ -125,8 +125,10 @@ def apply_scd2(
     target = spark.read.parquet(path) if sinks.table_exists(spark, path) else None
     if target is None or not scd.has_versions(target):
         first = sinks.stage(scd.scd2_initial(source, keys, as_of, now, order), "initial")
-        sinks.write_table(first, path, partition_by=[partition_by])
-        return {"inserted": first.count(), "expired": 0, "new_version": 0}
+        inserted = first.count()
+        if inserted:  # an empty partitioned table would have no files and so no schema
+            sinks.write_table(first, path, partition_by=[partition_by])
+        return {"inserted": inserted, "expired": 0, "new_version": 0}
 
     changes = sinks.stage(scd.scd2_changes(target, source, keys, compare, as_of, now, order), "changes")
     counts = {r["action"]: r["row_count"] for r in scd.merge_stats(changes).collect()}
@@ -218,13 +220,11 @@ def run_pipeline(
         spark, layout.silver("silver_titles_scd2"), built.titles, ["show_id"], compare, as_of, now, "release_year"
     )
 
-    star = star_layer.build_star(
-        spark.read.parquet(layout.silver("silver_titles_scd2")),
-        {b: spark.read.parquet(layout.silver(b)) for b in silver_layer.BRIDGES},
-        batch_id,
-        run_id,
-    )
-    star_layer.write_star(star, layout.gold)
+    history = layout.silver("silver_titles_scd2")
+    if sinks.table_exists(spark, history):
+        bridges = {b: spark.read.parquet(layout.silver(b)) for b in silver_layer.BRIDGES}
+        star = star_layer.build_star(spark.read.parquet(history), bridges, batch_id, run_id)
+        star_layer.write_star(star, layout.gold)
 
     elapsed = int((datetime.now() - started).total_seconds() * 1000)
     result = RunMetrics(

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from datetime import datetime
-from functools import cache
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,9 +109,8 @@ def _silver_path(app: str, sf: str) -> str:
     spark = SparkSession.active()
     path = f"{_home(spark, sf)}/silver"
     built = silver_layer.build_silver(bronze(spark, sf), AS_OF_YEAR, persist=lambda df: sinks.stage(df, "cleaned"))
-    sinks.write_table(built.titles, f"{path}/silver_titles", partition_by=["release_year"])
-    for name, df in built.bridges.items():
-        sinks.write_table(df, f"{path}/{name}")
+    titles_job = partial(sinks.write_table, built.titles, f"{path}/silver_titles", partition_by=["release_year"])
+    sinks.run_together([titles_job, *(partial(sinks.write_table, df, f"{path}/{n}") for n, df in built.bridges.items())])
     return path
 
 
@@ -119,10 +118,7 @@ def _silver_path(app: str, sf: str) -> str:
 def _gold_path(app: str, sf: str) -> str:
     spark = SparkSession.active()
     path = f"{_home(spark, sf)}/gold"
-    star = star_layer.build_star(titles(spark, sf), bridges(spark, sf), BATCH, RUN)
-    for name, dim in star.dims.items():
-        sinks.write_table(dim, f"{path}/{name}")
-    sinks.write_table(star.fact, f"{path}/fact_content", partition_by=["release_year"])
+    star_layer.write_facts(star_layer.build_star(titles(spark, sf), bridges(spark, sf), BATCH, RUN), path)
     return path
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.operators.stats import standardize
-from terrace.sources.sinks import stage
+from terrace.sources.sinks import run_together, stage
 
 MIN_ROWS = 4
 
@@ -30,9 +31,8 @@ def kmeans_members(
         n = points.count()
         if n < MIN_ROWS:
             raise ValueError(f"k-means needs at least {MIN_ROWS} complete rows, got {n}")
-        models = [
-            KMeans(k=min(k, n), seed=seed + i, featuresCol="_v", predictionCol="_label").fit(points) for i in range(starts)
-        ]
+        fits = [KMeans(k=min(k, n), seed=seed + i, featuresCol="_v", predictionCol="_label") for i in range(starts)]
+        models = run_together([partial(fit.fit, points) for fit in fits], width=starts)
         best = min(models, key=lambda m: m.summary.trainingCost)
         numbered = sorted(range(len(best.clusterCenters())), key=lambda i: tuple(best.clusterCenters()[i]))
         order = F.array(*(F.lit(numbered.index(i) + 1) for i in range(len(numbered))))

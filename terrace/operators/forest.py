@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions.ratios import round_to
@@ -36,14 +36,23 @@ def _sample(points: DataFrame, key: str, rows: int, trees: int, psi: int, seed:
     Trees draw from a hashed pool of about ``trees * psi`` rows, so only the
     pool is repeated per tree, whatever the size of the input.
     """
-    share = min(1.0, 1.1 * trees * psi / max(rows, 1))
-    unit = (F.xxhash64(F.col(key), F.lit(seed)) / F.lit(2.0**64)) + F.lit(0.5)
-    pool = points.filter(unit < share) if share < 1.0 else points
+    pool_share = min(1.0, 1.1 * trees * psi / max(rows, 1))
+    pool = points.filter(_unit(F.xxhash64(F.col(key), F.lit(seed))) < pool_share) if pool_share < 1.0 else points
     per_tree = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    draw = Window.partitionBy("tree").orderBy(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), F.col(key))
+    # Twice psi candidates are expected per tree, so fewer than psi is all but impossible.
+    per_tree = per_tree.withColumn("_hash", F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)))
+    tree_share = 2.0 * psi / max(rows * pool_share, 1.0)
+    if psi >= 64 and tree_share < 1.0:
+        per_tree = per_tree.filter(_unit(F.col("_hash")) < tree_share)
+    draw = Window.partitionBy("tree").orderBy("_hash", key)
     return per_tree.withColumn("_draw", F.row_number().over(draw)).filter(F.col("_draw") <= psi)
 
 
+def _unit(h: Column) -> Column:
+    """A 64-bit hash as a number in [0, 1)."""
+    return h / F.lit(2.0**64) + F.lit(0.5)
+
+
 def _grower(features: Sequence[str], limit: int, seed: int):
     cols = list(features)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from terrace.functions import calendar, labels
 from terrace.operators import ranking, rollups
 from terrace.operators.scd import current_view, has_versions
 from terrace.plans.star import classic_columns
-from terrace.sources.sinks import write_table
+from terrace.sources.sinks import run_together, write_table
 
 
 def kinds() -> dict:
@@ -91,6 +92,8 @@ def transforms(titles: DataFrame, bridges: Mapping[str, DataFrame]) -> dict[str,
 
 def run_business_transforms(titles: DataFrame, bridges: Mapping[str, DataFrame], gold_dir: str) -> None:
     """Compute and write every output, the enriched titles by release year."""
-    for name, df in transforms(titles, bridges).items():
-        by = ["release_year"] if name == "gold_titles_enriched" else []
-        write_table(df, f"{gold_dir}/{name}", partition_by=by)
+    partitions = {"gold_titles_enriched": ["release_year"]}
+    run_together(
+        partial(write_table, df, f"{gold_dir}/{name}", partition_by=partitions.get(name, []))
+        for name, df in transforms(titles, bridges).items()
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -131,13 +132,13 @@ def apply_scd2(
         return {"inserted": inserted, "expired": 0, "new_version": 0}
 
     changes = sinks.stage(scd.scd2_changes(target, source, keys, compare, as_of, now, order), "changes")
-    counts = {r["action"]: r["row_count"] for r in scd.merge_stats(changes).collect()}
-    stats = {a: counts.get(a, 0) for a in ("inserted", "expired", "new_version")}
-    if not counts:
+    # One row per action and touched partition directory: metadata-sized, and a literal list prunes the scan.
+    written = changes.groupBy("_action", partition_by).agg(F.count("*").alias("n")).collect()
+    stats = {a: sum(r["n"] for r in written if r["_action"] == a) for a in ("inserted", "expired", "new_version")}
+    if not written:
         return stats
     closed = changes.filter(F.col("_action") == "expired").select(*keys, "version_number")
-    # The list of touched partition directories is metadata-sized, and a literal list prunes the scan.
-    touched = [r[0] for r in changes.select(partition_by).distinct().collect()]
+    touched = {r[partition_by] for r in written}
     where = F.col(partition_by).isin([v for v in touched if v is not None])
     if None in touched:
         where = where | F.col(partition_by).isNull()
@@ -213,14 +214,15 @@ def run_pipeline(
 
     # Cleaned rows feed five tables, so they are written once.
     built = silver_layer.build_silver(passed, as_of.year, order=order, persist=lambda df: sinks.stage(df, "cleaned"))
-    sinks.write_rejects(built.rejects, f"{layout.root}/transformation_rejects", batch_id, now)
-    for name, incoming in built.bridges.items():
-        apply_bridge(spark, layout.silver(name), incoming, "show_id")
-    merged = apply_scd2(
-        spark, layout.silver("silver_titles_scd2"), built.titles, ["show_id"], compare, as_of, now, "release_year"
+    history = layout.silver("silver_titles_scd2")
+    merged, *_ = sinks.run_together(
+        [
+            partial(apply_scd2, spark, history, built.titles, ["show_id"], compare, as_of, now, "release_year"),
+            *(partial(apply_bridge, spark, layout.silver(n), df, "show_id") for n, df in built.bridges.items()),
+            partial(sinks.write_rejects, built.rejects, f"{layout.root}/transformation_rejects", batch_id, now),
+        ]
     )
 
-    history = layout.silver("silver_titles_scd2")
     if sinks.table_exists(spark, history):
         bridges = {b: spark.read.parquet(layout.silver(b)) for b in silver_layer.BRIDGES}
         star = star_layer.build_star(spark.read.parquet(history), bridges, batch_id, run_id)

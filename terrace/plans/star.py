@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from terrace.functions.ratios import round_to
 from terrace.operators import quality
 from terrace.operators.scd import current_view, has_versions
 from terrace.operators.tables import add_default_member
-from terrace.sources.sinks import write_table
+from terrace.sources.sinks import run_together, write_table
 
 CLASSIC_BEFORE = 2000
 
@@ -128,15 +129,18 @@ def kpi_tables(star: Star) -> dict[str, DataFrame]:
 
 def write_star(star: Star, gold_dir: str) -> Star:
     """Write dimensions, the fact by release year and the KPI tables; returns the star as stored."""
-    for name, dim in star.dims.items():
-        write_table(dim, f"{gold_dir}/{name}")
-    write_table(star.fact, f"{gold_dir}/fact_content", partition_by=["release_year"])
-    stored = read_star(star.fact.sparkSession, gold_dir)
-    for name, kpi in kpi_tables(stored).items():
-        write_table(kpi, f"{gold_dir}/{name}")
+    stored = write_facts(star, gold_dir)
+    run_together(partial(write_table, kpi, f"{gold_dir}/{name}") for name, kpi in kpi_tables(stored).items())
     return stored
 
 
+def write_facts(star: Star, gold_dir: str) -> Star:
+    """Write dimensions and fact; returns the star as stored."""
+    fact = partial(write_table, star.fact, f"{gold_dir}/fact_content", partition_by=["release_year"])
+    run_together([fact, *(partial(write_table, dim, f"{gold_dir}/{name}") for name, dim in star.dims.items())])
+    return read_star(star.fact.sparkSession, gold_dir)
+
+
 # The dimensions of the star.
 DIMENSIONS = ["dim_title", "dim_director", "dim_country", "dim_genre", "dim_rating", "dim_type", "dim_date"]
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     writer.parquet(path)
 
 
+def run_together(jobs: Iterable[Callable[[], object]], width: int = 4) -> list:
+    """Run independent Spark actions side by side, so one job's last tasks do not idle the cluster."""
+    with ThreadPoolExecutor(width) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+
+
 def write_bronze(df: DataFrame, path: str, load_type: str) -> None:
     """FULL replaces the table, INCREMENTAL appends to it. One load has one date, so no shuffle is needed."""
     mode = {"FULL": "overwrite", "INCREMENTAL": "append"}[load_type.upper()]

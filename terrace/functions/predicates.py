@@ -11,10 +11,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def newer_than(df: DataFrame, ts: str, watermark: datetime) -> DataFrame:
-    """rows strictly after the high-water mark, as a literal of the column's own type so that it is pushed down."""
-    kind = df.schema[ts].dataType.simpleString()
-    return df.filter(F.col(ts) > F.lit(watermark.isoformat(sep=" ")).cast(kind))
+def newer_than(df: DataFrame, ts: str, watermark: datetime, day: str | None = None) -> DataFrame:
+    """rows strictly after the high-water mark.
+
+    The mark becomes a literal of the column's own type, so it is pushed down
+    to the files; ``day``, the partition column holding the timestamp's date,
+    prunes whole directories as well.
+    """
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        mark = F.lit(watermark.isoformat(sep=" ")).cast("timestamp_ntz")
+    else:
+        mark = F.lit(watermark)
+    if day:
+        df = df.filter(F.col(day) >= F.to_date(mark))
+    return df.filter(F.col(ts) > mark)
 
 
 def any_changed(left: str, right: str, cols: Iterable[str]) -> Column:

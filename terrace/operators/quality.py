@@ -64,18 +64,25 @@ def run_suite(df: DataFrame, rules: Rules) -> DataFrame:
     ``evaluated`` is the row count. The column-set and type expectations
     compare schemas and have no failing rows of their own.
     """
-    spark = df.sparkSession
     failures = _failures(df, rules)
-    total = df.agg(F.count("*").alias("evaluated"))
+    known: dict[tuple[str, str], bool] = {}
+    if "required_columns" in rules:
+        diff = column_set_check(df, rules["required_columns"], rules.get("ignore_columns", ()))
+        known["column_set", ",".join(diff["missing"] + diff["unexpected"])] = any(diff.values())
+    types = dict(df.dtypes)
+    for c, expected in rules.get("type_checks", {}).items():
+        known["of_type", c] = types.get(c) != expected
+
+    def entry(kind: str, c: str, failed: Column) -> Column:
+        return F.struct(F.lit(kind).alias("expectation"), F.lit(c).alias("column_name"), failed.cast("long").alias("failed"))
+
     parts: list[DataFrame] = []
-    if failures:
+    if failures or known:
         counts = df.agg(
             F.count("*").alias("evaluated"), *(F.count_if(cond).alias(f"_{i}") for i, cond in enumerate(failures.values()))
         )
-        entries = [
-            F.struct(F.lit(kind).alias("expectation"), F.lit(c).alias("column_name"), F.col(f"_{i}").alias("failed"))
-            for i, (kind, c) in enumerate(failures)
-        ]
+        entries = [entry(kind, c, F.col(f"_{i}")) for i, (kind, c) in enumerate(failures)]
+        entries += [entry(kind, c, F.lit(int(broken))) for (kind, c), broken in known.items()]
         parts.append(
             counts.select("evaluated", F.inline(F.array(*entries))).select("expectation", "column_name", "evaluated", "failed")
         )
@@ -88,17 +95,6 @@ def run_suite(df: DataFrame, rules: Rules) -> DataFrame:
                 F.coalesce(F.sum(F.when(repeated, F.col("_n"))), F.lit(0)).alias("failed"),
             ).select(F.lit("unique").alias("expectation"), F.lit(c).alias("column_name"), "evaluated", "failed")
         )
-    schema_rows = []
-    if "required_columns" in rules:
-        diff = column_set_check(df, rules["required_columns"], rules.get("ignore_columns", ()))
-        schema_rows.append(("column_set", ",".join(diff["missing"] + diff["unexpected"]), int(any(diff.values()))))
-    types = dict(df.dtypes)
-    for c, expected in rules.get("type_checks", {}).items():
-        schema_rows.append(("of_type", c, int(types.get(c) != expected)))
-    for kind, c, failed in schema_rows:
-        parts.append(
-            total.select(F.lit(kind).alias("expectation"), F.lit(c).alias("column_name"), "evaluated", F.lit(failed).cast("long").alias("failed"))
-        )
     if not parts:
         raise ValueError("the rules name no expectation")
     rows = reduce(DataFrame.unionByName, parts)

@@ -22,6 +22,9 @@ from terrace.operators.tables import latest_by_key
 # Fixed value: the open end of a current version.
 HIGH_DATE = date(9999, 12, 31)
 
+# Merge order for a source known to hold one row per key.
+UNIQUE = ("unique",)
+
 VERSION_COLUMNS = [
     "effective_start_date",
     "effective_end_date",
@@ -33,7 +36,12 @@ VERSION_COLUMNS = [
 
 
 def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
-    """The incoming row kept for each key: first in ``order``, ties settled by the whole row."""
+    """The incoming row kept for each key: first in ``order``, ties settled by the whole row.
+
+    ``order=UNIQUE`` says the source has one row per key already.
+    """
+    if order == UNIQUE:
+        return source
     order = list(order or [])
     tie = [F.col(c).asc_nulls_last() for c in source.columns if c not in keys]
     return latest_by_key(source, keys, order + tie)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
-from datetime import date, datetime
+import socket
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from datetime import date, datetime, timedelta
 from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.functions import text
 from terrace.functions.predicates import newer_than
 from terrace.operators import quality, scd, tables
 from terrace.plans import silver as silver_layer
@@ -65,10 +67,12 @@ class RunMetrics:
     processed: int = 0
     passed: int = 0
     rejected: int = 0
+    duplicates: int = 0
+    failed_dates: int = 0
+    nulls_handled: int = 0
     inserted: int = 0
     updated: int = 0
     watermark: datetime = EPOCH
-    silver: Mapping[str, int] = field(default_factory=dict)
 
 
 # --- watermarks ---------------------------------------------------------------------------------
@@ -124,14 +128,16 @@ def apply_scd2(
 ) -> dict[str, int]:
     """Merge into a stored history, rewriting only the partitions rows leave or enter."""
     target = spark.read.parquet(path) if sinks.table_exists(spark, path) else None
+    # The incoming rows meet the target three times, so they are reduced to one per key once.
+    source = sinks.stage(scd.one_per_key(source, keys, order), "incoming")
     if target is None or not scd.has_versions(target):
-        first = sinks.stage(scd.scd2_initial(source, keys, as_of, now, order), "initial")
-        inserted = first.count()
+        first = scd.scd2_initial(source, keys, as_of, now, scd.UNIQUE)
+        inserted = source.count()
         if inserted:  # an empty partitioned table would have no files and so no schema
             sinks.write_table(first, path, partition_by=[partition_by])
         return {"inserted": inserted, "expired": 0, "new_version": 0}
 
-    changes = sinks.stage(scd.scd2_changes(target, source, keys, compare, as_of, now, order), "changes")
+    changes = sinks.stage(scd.scd2_changes(target, source, keys, compare, as_of, now, scd.UNIQUE), "changes")
     # One row per action and touched partition directory: metadata-sized, and a literal list prunes the scan.
     written = changes.groupBy("_action", partition_by).agg(F.count("*").alias("n")).collect()
     stats = {a: sum(r["n"] for r in written if r["_action"] == a) for a in ("inserted", "expired", "new_version")}
@@ -158,100 +164,171 @@ def apply_bridge(spark: SparkSession, path: str, incoming: DataFrame, key: str)
 # --- the run ------------------------------------------------------------------------------------
 
 
-def run_pipeline(
-    spark: SparkSession,
-    layout: Layout,
-    *,
-    batch_id: str,
-    run_id: str,
-    as_of: date,
-    now: datetime,
-    full: bool = False,
-    rules: quality.Rules | None = None,
-    gate: bool = True,
-    compare: Sequence[str] = COMPARE,
-    order: Sequence | None = None,
-) -> RunMetrics:
-    """I4: bronze delta to silver, SCD tables, star and watermark.
+class Steps:
+    """Timed steps of one run, appended to the telemetry table together."""
 
-    The watermark is committed last and every merge is idempotent, so a run
-    that dies halfway is simply run again; a run without new rows changes
-    nothing. ``gate=False`` lets rows that break the rules through to silver.
-    """
-    marks = layout.metadata("watermarks")
-    runs = layout.metadata("pipeline_runs")
-    steps = layout.metadata("pipeline_steps")
-    started = datetime.now()
+    def __init__(self, run_id: str) -> None:
+        self.run_id = run_id
+        self.rows: list[dict[str, Any]] = []
+
+    def timed(self, stage: str, job: Callable[[], Any]) -> Any:
+        start = datetime.now()
+        result = job()
+        end = datetime.now()
+        self.rows.append(
+            {
+                "pipeline_run_id": self.run_id, "pipeline_stage": stage, "start_time": start, "end_time": end,
+                "execution_duration_ms": int((end - start).total_seconds() * 1000), "execution_status": "SUCCESS",
+            }
+        )
+        return result
+
+    def note(self, stage: str, **counts: Any) -> None:
+        for row in self.rows:
+            if row["pipeline_stage"] == stage:
+                row.update(counts)
+
+
+def _judge(delta: DataFrame, rules: quality.Rules | None, run_id: str) -> tuple[DataFrame, dict[str, Any]]:
+    """The delta with reject reasons, and its counts and next watermark, in one pass."""
+    seen = Observation(f"delta-{run_id}")
+    judged = quality.with_reasons(delta, rules) if rules else delta.withColumn("reasons", F.array().cast("array<string>"))
+    nulls = sum((F.count_if(F.col(c).isNull()) for c in silver_layer.TEXT_COLUMNS), F.lit(0))
+    observed = judged.observe(
+        seen,
+        F.count("*").alias("processed"),
+        F.count_if(F.size("reasons") > 0).alias("rejected"),
+        nulls.alias("nulls_handled"),
+        F.max("ingestion_timestamp").alias("watermark"),
+    )
+    return sinks.stage(observed, "judged"), seen.get
+
+
+def _clean(passed: DataFrame, as_of: date, order: Sequence | None, run_id: str) -> tuple[silver_layer.Silver, dict[str, Any]]:
+    """Silver frames over cleaned rows written once, with the counts of kept rows and bad dates."""
+    seen = Observation(f"cleaned-{run_id}")
+    bad_date = text.unparsed(F.col("date_added"), F.col("parsed_date"))
+
+    def persist(cleaned: DataFrame) -> DataFrame:
+        counts = (F.count("*").alias("kept"), F.count_if(bad_date).alias("failed_dates"))
+        return sinks.stage(cleaned.observe(seen, *counts), "cleaned")
+
+    return silver_layer.build_silver(passed, as_of.year, order=order, persist=persist), seen.get
 
+
+def _load(
+    spark: SparkSession, layout: Layout, steps: Steps, batch_id: str, run_id: str, as_of: date, now: datetime,
+    full: bool, rules: quality.Rules | None, gate: bool, compare: Sequence[str], order: Sequence | None,
+) -> RunMetrics:
     bronze = consolidate([spark.read.parquet(p) for p in layout.bronze], run_id)
-    mark = EPOCH if full else read_watermark(spark, marks, layout.name)
-    delta = bronze if full else newer_than(bronze, "ingestion_timestamp", mark)
+    mark = EPOCH if full else read_watermark(spark, layout.metadata("watermarks"), layout.name)
+    day = "ingestion_date" if "ingestion_date" in bronze.columns else None
+    delta = bronze if full else newer_than(bronze, "ingestion_timestamp", mark, day)
     if delta.isEmpty():
-        telemetry.record(spark, runs, telemetry.RUN_SCHEMA, {
-            "pipeline_run_id": run_id, "pipeline_name": layout.name, "batch_id": batch_id,
-            "execution_mode": "FULL" if full else "INCREMENTAL", "start_time": now, "execution_status": "SKIPPED",
-        })
         return RunMetrics("SKIPPED", watermark=mark)
 
-    # One pass judges the delta, counts it and finds the next watermark.
-    seen = Observation(f"delta-{run_id}")
-    judged = quality.with_reasons(delta, rules) if rules else delta.withColumn("reasons", F.array().cast("array<string>"))
+    judged, counted = steps.timed("Validation", lambda: _judge(delta, rules, run_id))
     bad = F.size("reasons") > 0
-    judged = sinks.stage(
-        judged.observe(
-            seen,
-            F.count("*").alias("processed"),
-            F.count_if(bad).alias("rejected"),
-            F.max("ingestion_timestamp").alias("watermark"),
-        ),
-        "judged",
-    )
-    counted = seen.get
     if counted["rejected"]:
         rejected = judged.filter(bad).withColumn("reason_for_failure", F.concat_ws(", ", "reasons"))
         sinks.write_rejects(rejected, layout.rejects, batch_id, now)
     passed = (judged.filter(~bad) if gate else judged).drop("reasons")
+    built, cleaned = steps.timed("Silver_Cleansing", lambda: _clean(passed, as_of, order, run_id))
+    if cleaned["failed_dates"]:
+        sinks.write_rejects(built.rejects, f"{layout.root}/transformation_rejects", batch_id, now)
 
-    # Cleaned rows feed five tables, so they are written once.
-    built = silver_layer.build_silver(passed, as_of.year, order=order, persist=lambda df: sinks.stage(df, "cleaned"))
     history = layout.silver("silver_titles_scd2")
-    merged, *_ = sinks.run_together(
+    type2 = partial(apply_scd2, spark, history, built.titles, ["show_id"], compare, as_of, now, "release_year")
+    type1 = [partial(apply_bridge, spark, layout.silver(n), df, "show_id") for n, df in built.bridges.items()]
+    merged, _ = sinks.run_together(
         [
-            partial(apply_scd2, spark, history, built.titles, ["show_id"], compare, as_of, now, "release_year"),
-            *(partial(apply_bridge, spark, layout.silver(n), df, "show_id") for n, df in built.bridges.items()),
-            partial(sinks.write_rejects, built.rejects, f"{layout.root}/transformation_rejects", batch_id, now),
+            lambda: steps.timed("SCD_Type2", type2),
+            lambda: steps.timed("SCD_Type1", lambda: sinks.run_together(type1)),
         ]
     )
-
     if sinks.table_exists(spark, history):
         bridges = {b: spark.read.parquet(layout.silver(b)) for b in silver_layer.BRIDGES}
         star = star_layer.build_star(spark.read.parquet(history), bridges, batch_id, run_id)
-        star_layer.write_star(star, layout.gold)
+        steps.timed("Gold", lambda: star_layer.write_star(star, layout.gold))
 
-    elapsed = int((datetime.now() - started).total_seconds() * 1000)
+    taken = counted["processed"] - (counted["rejected"] if gate else 0)
     result = RunMetrics(
         "SUCCESS",
         processed=counted["processed"],
         passed=counted["processed"] - counted["rejected"],
         rejected=counted["rejected"],
+        duplicates=taken - cleaned["kept"],
+        failed_dates=cleaned["failed_dates"],
+        nulls_handled=counted["nulls_handled"],
         inserted=merged["inserted"] + merged["new_version"],
         updated=merged["expired"],
         watermark=counted["watermark"],
-        silver=merged,
     )
-    telemetry.record(spark, steps, telemetry.STEP_SCHEMA, {
-        "pipeline_run_id": run_id, "pipeline_stage": "Silver", "start_time": now, "execution_duration_ms": elapsed,
-        "execution_status": "SUCCESS", "records_read": result.processed, "records_written": result.passed,
-        "records_inserted": result.inserted, "records_updated": result.updated, "records_rejected": result.rejected,
-    })
-    telemetry.record(spark, runs, telemetry.RUN_SCHEMA, {
-        "pipeline_run_id": run_id, "pipeline_name": layout.name, "batch_id": batch_id,
-        "execution_mode": "FULL" if full else "INCREMENTAL", "start_time": now, "execution_duration_ms": elapsed,
-        "execution_status": "SUCCESS", "spark_application_id": spark.sparkContext.applicationId,
-        "watermark_timestamp": result.watermark, "rows_read": result.processed, "rows_inserted": result.inserted,
-        "rows_updated": result.updated, "rows_rejected": result.rejected,
-    })
-    commit_watermark(spark, marks, {
+    written = cleaned["kept"] - cleaned["failed_dates"]
+    steps.note("Validation", records_read=result.processed, records_written=taken, records_rejected=result.rejected)
+    steps.note(
+        "Silver_Cleansing", records_read=taken, records_written=written,
+        duplicate_count=result.duplicates, validation_failures=result.failed_dates,
+    )
+    steps.note("SCD_Type1", records_read=written)
+    steps.note("SCD_Type2", records_read=written, records_inserted=result.inserted, records_updated=result.updated)
+    return result
+
+
+def run_pipeline(
+    spark: SparkSession,
+    layout: Layout,
+    *,
+    batch_id: str,
+    run_id: str,
+    as_of: date,
+    now: datetime,
+    full: bool = False,
+    rules: quality.Rules | None = None,
+    gate: bool = True,
+    compare: Sequence[str] = COMPARE,
+    order: Sequence | None = None,
+) -> RunMetrics:
+    """I4: bronze delta to silver, SCD tables, star, telemetry and watermark.
+
+    The watermark is committed last and every merge is idempotent, so a run
+    that dies halfway is simply run again; a run without new rows changes no
+    table. ``gate=False`` lets rows that break the rules through to silver.
+    """
+    started = datetime.now()
+    steps = Steps(run_id)
+    run = {
+        "pipeline_run_id": run_id, "pipeline_name": layout.name, "batch_id": batch_id, "start_time": now,
+        "execution_mode": "FULL" if full else "INCREMENTAL", "execution_host": socket.gethostname(),
+        "spark_application_id": spark.sparkContext.applicationId,
+    }
+
+    def close(status: str, **more: Any) -> int:
+        elapsed = int((datetime.now() - started).total_seconds() * 1000)
+        row = {**run, "execution_status": status, "execution_duration_ms": elapsed, "end_time": now + timedelta(milliseconds=elapsed), **more}
+        telemetry.record(spark, layout.metadata("pipeline_runs"), telemetry.RUN_SCHEMA, row)
+        if steps.rows:
+            telemetry.record(spark, layout.metadata("pipeline_steps"), telemetry.STEP_SCHEMA, *steps.rows)
+        return elapsed
+
+    try:
+        result = _load(spark, layout, steps, batch_id, run_id, as_of, now, full, rules, gate, compare, order)
+    except Exception as err:
+        close("FAILED", error_details=str(err)[:4000])
+        raise
+    if result.status == "SKIPPED":
+        close("SKIPPED", watermark_timestamp=result.watermark)
+        return result
+
+    tables_now = {"silver_titles_scd2": layout.silver("silver_titles_scd2"), "fact_content": f"{layout.gold}/fact_content"}
+    stored = [telemetry.describe_dataset(spark, p, n, run_id, now) for n, p in tables_now.items() if sinks.table_exists(spark, p)]
+    if stored:
+        telemetry.record(spark, layout.metadata("dataset_metadata"), telemetry.DATASET_SCHEMA, *stored)
+    elapsed = close(
+        "SUCCESS", watermark_timestamp=result.watermark, rows_read=result.processed, rows_inserted=result.inserted,
+        rows_updated=result.updated, rows_skipped=result.duplicates, rows_rejected=result.rejected,
+    )
+    commit_watermark(spark, layout.metadata("watermarks"), {
         "pipeline_name": layout.name, "last_processed_timestamp": result.watermark, "last_successful_batch": batch_id,
         "last_business_key": "show_id", "last_run_time_ms": elapsed, "updated_at": now,
     })

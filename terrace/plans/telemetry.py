@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,14 +23,31 @@ STEP_SCHEMA = """
     records_inserted long, records_updated long, records_deleted long, records_rejected long,
     duplicate_count long, validation_failures long, error_message string
 """
-DATASET_SCHEMA = "pipeline_run_id string, dataset_name string, layer string, row_count long, schema_json string, recorded_at timestamp"
+DATASET_SCHEMA = """
+    pipeline_run_id string, dataset_name string, storage_format string, destination_path string,
+    record_count long, schema_definition string, updated_at timestamp
+"""
 
 
-def record(spark: SparkSession, path: str, schema: str, entry: Mapping[str, Any]) -> None:
-    """Append one telemetry row; fields not given are NULL."""
+def record(spark: SparkSession, path: str, schema: str, *entries: Mapping[str, Any]) -> None:
+    """Append telemetry rows; fields not given are NULL."""
     template = spark.createDataFrame([], schema)
-    row = tuple(entry.get(c) for c in template.columns)
-    spark.createDataFrame([row], template.schema).coalesce(1).write.mode("append").parquet(path)
+    rows = [tuple(entry.get(c) for c in template.columns) for entry in entries]
+    spark.createDataFrame(rows, template.schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def describe_dataset(spark: SparkSession, path: str, name: str, run_id: str, now: datetime) -> dict[str, Any]:
+    """A stored table's row count (from its file footers) and schema."""
+    stored = spark.read.parquet(path)
+    return {
+        "pipeline_run_id": run_id,
+        "dataset_name": name,
+        "storage_format": "PARQUET",
+        "destination_path": path,
+        "record_count": stored.count(),
+        "schema_definition": stored.schema.json(),
+        "updated_at": now,
+    }
 
 
 def latest_success(runs: DataFrame, start: str = "start_time", status: str = "execution_status", tie: str = "pipeline_run_id") -> DataFrame:

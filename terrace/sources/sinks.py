@@ -37,8 +37,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 def run_together(jobs: Iterable[Callable[[], object]], width: int = 4) -> list:
     """Run independent Spark actions side by side, so one job's last tasks do not idle the cluster."""
+    in_session = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(width) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+        return [f.result() for f in [pool.submit(in_session(job)) for job in jobs]]
 
 
 def write_bronze(df: DataFrame, path: str, load_type: str) -> None:

@@ -11,8 +11,8 @@ from terrace.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false", spark__ui__retainedJobs="50", spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

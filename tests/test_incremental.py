@@ -32,6 +32,7 @@ def layout(spark, tmp_path):
 def test_full_then_delta_then_nothing(spark, layout, tmp_path):
     one = _run(spark, layout, 1, full=True)
     assert (one.status, one.processed, one.inserted, one.updated) == ("SUCCESS", 2, 2, 0)
+    assert (one.duplicates, one.failed_dates, one.nulls_handled) == (0, 0, 0)
 
     second = str(tmp_path / "bronze_second")
     data = [_record("s3", "Title Three"), _record("s1", "Title One Updated", "United States, Canada")]
@@ -58,6 +59,10 @@ def test_full_then_delta_then_nothing(spark, layout, tmp_path):
     assert again.processed == 4 and again.inserted == 0 and again.updated == 0
     runs = spark.read.parquet(both.metadata("pipeline_runs"))
     assert {r.pipeline_run_id: r.execution_status for r in runs.collect()} == {"r1": "SUCCESS", "r2": "SUCCESS", "r3": "SKIPPED", "r4": "SUCCESS"}
+    steps = spark.read.parquet(both.metadata("pipeline_steps")).filter("pipeline_run_id = 'r2'")
+    assert {r.pipeline_stage for r in steps.collect()} == {"Validation", "Silver_Cleansing", "SCD_Type1", "SCD_Type2", "Gold"}
+    sizes = spark.read.parquet(both.metadata("dataset_metadata")).filter("pipeline_run_id = 'r2'")
+    assert {r.dataset_name: r.record_count for r in sizes.collect()} == {"silver_titles_scd2": 4, "fact_content": 4}
 
 
 def test_rejected_rows_are_gated_and_kept(spark, layout):
@@ -68,6 +73,14 @@ def test_rejected_rows_are_gated_and_kept(spark, layout):
     assert {r.reason_for_failure for r in stored.collect()} == {"release_year cannot be in the future"}
 
 
+def test_a_failed_run_is_recorded_and_leaves_the_watermark(spark, layout):
+    with pytest.raises(Exception, match="no_such_column"):
+        _run(spark, layout, 1, rules={"null_checks": ["no_such_column"]})
+    run = spark.read.parquet(layout.metadata("pipeline_runs")).first()
+    assert run.execution_status == "FAILED" and "no_such_column" in run.error_details
+    assert incremental.read_watermark(spark, layout.metadata("watermarks"), layout.name) == incremental.EPOCH
+
+
 def test_without_the_gate_rejects_reach_silver(spark, layout):
     open_gate = _run(spark, layout, 1, rules={"max_values": {"release_year": 2020}}, gate=False)
     assert (open_gate.rejected, open_gate.inserted) == (2, 2)

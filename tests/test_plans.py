@@ -57,3 +57,13 @@ def test_director_ranking_has_no_global_window(spark):
     ranked = business.director_rankings(lake.titles(spark, SF), lake.bridges(spark, SF)["silver_directors"])
     # The only single-task window is over one row per shuffle slice.
     assert plan(ranked).count("Window ") <= 1
+
+
+def test_watermark_prunes_bronze_partitions(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    events = lake.table(spark, SF, "events").withColumns({"ts": F.col("ts").cast("timestamp"), "ingestion_date": F.to_date("ts")})
+    events.write.partitionBy("ingestion_date").parquet(path)
+    stored = spark.read.parquet(path)
+    newer = predicates.newer_than(stored, "ts", datetime(2024, 1, 15, 12), "ingestion_date")
+    assert newer.count() == stored.filter("ts > TIMESTAMP '2024-01-15 12:00:00'").count() > 0
+    assert "PartitionFilters: [isnotnull(ingestion_date" in plan(newer) and "GreaterThan(ts," in plan(newer)

@@ -1,7 +1,6 @@
 from datetime import date
 
 import pytest
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from terrace.functions import calendar, labels, ratios, text
@@ -51,12 +50,6 @@ def test_metrics_in_one_row(spark):
     assert (row.records_received, row.duplicates_removed, row.failed_dates_count, row.records_written) == (5, 1, 1, 3)
 
 
-def test_observed_metrics_come_with_the_write(spark, tmp_path):
-    seen = Observation()
-    silver.observe_bronze(raw_frame(spark), seen).write.parquet(str(tmp_path / "b"))
-    assert seen.get["records_received"] == 5 and seen.get["nulls_handled"] == 6
-
-
 def test_column_functions(spark):
     df = spark.createDataFrame([("1998", "90 min", 1.005, 135)], "y string, d string, r double, m int")
     row = df.select(

@@ -36,7 +36,7 @@ def order_trend_by_priority(spark, sf):
 
 @query(
     f"""
-SELECT o_orderpriority, CAST(period AS INTEGER) AS period, greatest(0, CAST(round_even(b + a * period, 0) AS BIGINT)) AS predicted FROM (
+SELECT o_orderpriority, CAST(period AS INTEGER) AS period, greatest(0, CAST(round_even(CAST(CAST(b + a * period AS DECIMAL(38,6)) AS DOUBLE), 0) AS BIGINT)) AS predicted FROM (
   SELECT o_orderpriority, a, b, unnest(range(last + 1, last + 6)) AS period FROM (
     SELECT o_orderpriority, regr_slope(n, y) AS a, regr_intercept(n, y) AS b, max(y) AS last FROM ({YEARLY_BY}) GROUP BY 1 HAVING count(*) >= 5))"""
 )

@@ -40,10 +40,15 @@ def rounded_trend(trend: DataFrame) -> DataFrame:
 
 
 def forecast(trend: DataFrame, periods: int = 5, by: Sequence[str] = (), first: Column | None = None) -> DataFrame:
-    """M2: the next periods on the line, rounded half-to-even and never negative."""
+    """M2: the next periods on the line, rounded half-to-even and never negative.
+
+    The value is taken to six decimals first: the last bits of the fit depend on
+    the order of summation and must not decide a tie.
+    """
     start = first if first is not None else F.col("train_to") + 1
     steps = trend.withColumn("period", F.explode(F.sequence(start, start + F.lit(periods - 1))))
-    value = F.greatest(F.lit(0), F.bround(F.col("intercept") + F.col("slope") * F.col("period"), 0).cast("long"))
+    on_line = F.col("intercept") + F.col("slope") * F.col("period")
+    value = F.greatest(F.lit(0), F.bround(on_line.cast("decimal(38,6)"), 0).cast("long"))
     return steps.select(*by, "period", value.alias("predicted"))
 
 

@@ -42,7 +42,7 @@ HEADLINE = [
     "order_forecast",
     "isolation_outliers",
     "director_clusters",
-    "incremental_runs",
+    "incremental_titles",
 ]
 
 

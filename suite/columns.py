@@ -186,6 +186,16 @@ def chart_series_by_year(spark, sf):
     return ranking.yearly_series(per_type, "release_year", "titles")
 
 
+@query(
+    over_silver(
+        "SELECT country, count(*) AS titles FROM silver_country GROUP BY country ORDER BY titles DESC, country LIMIT 10"
+    )
+)
+def chart_top_countries(spark, sf):
+    counted = rollups.count_by(lake.bridges(spark, sf)["silver_country"], ["country"], "titles")
+    return ranking.top_n(counted, [F.desc("titles"), F.asc("country")], 10)
+
+
 # --- filters ------------------------------------------------------------------------------------
 
 

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import uuid
 from datetime import date, datetime
+from functools import cache
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from suite import lake
-from suite.lake import over_silver, table
+from suite.lake import over_fact, over_silver, table
 from suite.registry import query
 from terrace.operators import scd
+from terrace.operators.tables import labelled_union
 from terrace.plans import incremental
+from terrace.plans.silver import BRIDGES
 from terrace.session import workspace
 from terrace.streaming import continuous
 
@@ -200,6 +204,29 @@ def watermark_state(spark, sf):
     return incremental.watermark_state(log).drop("updated_at")
 
 
+@cache
+def _three_runs(app: str, sf: str) -> incremental.Layout:
+    """A full run, a run over re-delivered urgent titles, and a run that finds nothing new."""
+    spark = SparkSession.active()
+    root = f"{workspace(spark)}/pipeline-{uuid.uuid4().hex}"
+    first, second = f"{root}/bronze/first", f"{root}/bronze/second"
+    raw = lake.bronze(spark, sf)
+    raw.write.parquet(first)
+    start = incremental.Layout([first], root)
+    incremental.run_pipeline(spark, start, batch_id="b1", run_id="r1", as_of=T1.date(), now=T1, full=True)
+    raw.filter("rating = '1-URGENT'").withColumns(
+        {"title": F.concat("title", F.lit("Revised")), "ingestion_timestamp": F.lit(T2).cast("timestamp"), "batch_id": F.lit("b2")}
+    ).write.parquet(second)
+    both = incremental.Layout([first, second], root)
+    incremental.run_pipeline(spark, both, batch_id="b2", run_id="r2", as_of=T2.date(), now=T2)
+    incremental.run_pipeline(spark, both, batch_id="b3", run_id="r3", as_of=T3.date(), now=T3)
+    return both
+
+
+def _layout(spark, sf):
+    return _three_runs(spark.sparkContext.applicationId, sf)
+
+
 @query(
     over_silver(
         """
@@ -211,29 +238,68 @@ SELECT show_id, title || ' Revised', rating, release_year, 2, DATE '2024-02-01',
 FROM silver_titles WHERE rating = '1-URGENT'"""
     )
 )
-def incremental_runs(spark, sf):
-    """A full run, a run over re-delivered urgent titles, and a run that finds nothing new."""
-    root = f"{workspace(spark)}/pipeline-{uuid.uuid4().hex}"
-    first = f"{root}/bronze/first"
-    second = f"{root}/bronze/second"
-    raw = lake.bronze(spark, sf)
-    raw.write.parquet(first)
-    run = {"gate": False}
-    incremental.run_pipeline(
-        spark, incremental.Layout([first], root), batch_id="b1", run_id="r1", as_of=T1.date(), now=T1, full=True, **run
-    )
-    raw.filter("rating = '1-URGENT'").withColumns(
-        {"title": F.concat("title", F.lit("Revised")), "ingestion_timestamp": F.lit(T2).cast("timestamp"), "batch_id": F.lit("b2")}
-    ).write.parquet(second)
-    both = incremental.Layout([first, second], root)
-    incremental.run_pipeline(spark, both, batch_id="b2", run_id="r2", as_of=T2.date(), now=T2, **run)
-    skipped = incremental.run_pipeline(spark, both, batch_id="b3", run_id="r3", as_of=T3.date(), now=T3, **run)
-    assert skipped.status == "SKIPPED", skipped
-    return spark.read.parquet(both.silver("silver_titles_scd2")).select(
+def incremental_titles(spark, sf):
+    return spark.read.parquet(_layout(spark, sf).silver("silver_titles_scd2")).select(
         "show_id", "title", "rating", "release_year", "version_number", "effective_start_date", "effective_end_date", "is_current"
     )
 
 
+@query(
+    over_silver(
+        """
+SELECT 'silver_country' AS bridge, show_id, country AS value FROM silver_country
+UNION ALL SELECT 'silver_genres', * FROM silver_genres
+UNION ALL SELECT 'silver_directors', * FROM silver_directors
+UNION ALL SELECT 'silver_cast', * FROM silver_cast"""
+    )
+)
+def incremental_bridges(spark, sf):
+    """Re-delivered titles replace their bridge rows, so the bridges are as after one clean load."""
+    layout = _layout(spark, sf)
+    return labelled_union(
+        {n: spark.read.parquet(layout.silver(n)).select("show_id", F.col(out).alias("value")) for n, (_, out, _) in BRIDGES.items()}, "bridge"
+    )
+
+
+@query(over_fact("SELECT release_year, count(*) AS facts, count(DISTINCT show_id) AS titles FROM fact GROUP BY release_year"))
+def incremental_facts(spark, sf):
+    """The star after the runs holds current versions only."""
+    fact = spark.read.parquet(f"{_layout(spark, sf).gold}/fact_content")
+    per_title = fact.groupBy("release_year", "title_key").agg(F.count("*").alias("n"))
+    return per_title.groupBy("release_year").agg(F.sum("n").alias("facts"), F.count("*").alias("titles"))
+
+
+@query(
+    over_silver(
+        """,
+urgent AS (SELECT count(*) AS n FROM raw WHERE rating = '1-URGENT'),
+changed AS (SELECT count(*) AS n FROM silver_titles WHERE rating = '1-URGENT'),
+repeats AS (SELECT (SELECT count(*) FROM raw) - count(*) AS n FROM unique_raw),
+urgent_repeats AS (SELECT (SELECT n FROM urgent) - count(*) AS n FROM unique_raw WHERE rating = '1-URGENT')
+SELECT 'r1' AS pipeline_run_id, 'FULL' AS execution_mode, 'SUCCESS' AS execution_status, (SELECT count(*) FROM raw) AS rows_read,
+       (SELECT count(*) FROM silver_titles) AS rows_inserted, 0 AS rows_updated, (SELECT n FROM repeats) AS rows_skipped
+UNION ALL SELECT 'r2', 'INCREMENTAL', 'SUCCESS', (SELECT n FROM urgent), (SELECT n FROM changed), (SELECT n FROM changed), (SELECT n FROM urgent_repeats)
+UNION ALL SELECT 'r3', 'INCREMENTAL', 'SKIPPED', NULL, NULL, NULL, NULL"""
+    )
+)
+def incremental_run_log(spark, sf):
+    return spark.read.parquet(_layout(spark, sf).metadata("pipeline_runs")).select(
+        "pipeline_run_id", "execution_mode", "execution_status", "rows_read", "rows_inserted", "rows_updated", "rows_skipped"
+    )
+
+
+@query(
+    f"""WITH {HISTORY},
+latest AS (SELECT c_custkey, max(version_number) AS v FROM h2 GROUP BY c_custkey)
+SELECT src.c_custkey, coalesce(v, 0) + 1 AS next_version FROM
+ (SELECT c_custkey FROM src UNION SELECT s_suppkey + 20000000 FROM supplier) src LEFT JOIN latest USING (c_custkey)"""
+)
+def next_versions(spark, sf):
+    unseen = table(spark, sf, "supplier").select((F.col("s_suppkey") + 20000000).alias("c_custkey"))
+    feed = _incoming(spark, sf).select("c_custkey").union(unseen)
+    return scd.next_versions(feed, _history(spark, sf, 2), KEYS)
+
+
 @query(over_silver("SELECT show_id, type, title, date_added, release_year, rating, duration, 1 AS version_number, true AS is_current FROM silver_titles"))
 def streamed_history(spark, sf):
     """The bronze files as a stream, merged into silver until none is left."""

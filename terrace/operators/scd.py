@@ -252,3 +252,10 @@ def version_audit(history: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.max("version_number").alias("max_version"),
         F.count_if(F.col("is_current")).alias("active_versions"),
     )
+
+
+def next_versions(source: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The version number each incoming key would get: one more than its highest, or 1."""
+    highest = history.groupBy(*keys).agg(F.max("version_number").alias("_highest"))
+    joined = source.select(*keys).join(highest, list(keys), "left")
+    return joined.select(*keys, (F.coalesce("_highest", F.lit(0)) + 1).alias("next_version"))

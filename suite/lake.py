@@ -93,7 +93,7 @@ def stamped(raw: DataFrame) -> DataFrame:
 
 
 def _home(spark: SparkSession, sf: str) -> str:
-    return f"{workspace(spark)}/lake-{hashlib.sha1(sf.encode()).hexdigest()[:12]}"
+    return f"{workspace(spark)}/lake-{hashlib.sha1(str(sf).encode()).hexdigest()[:12]}"
 
 
 @cache

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrace.llm import bpe
-from terrace.llm.common import table
+from terrace.llm import bpe, langid
+from terrace.llm.common import fold, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +33,11 @@ def tokenizer() -> tuple[dict[bytes, int], str]:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer()
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks))
+
+
+@query()
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    prototypes = langid.train(docs.where(F.coalesce(fold("doc_id", 4) != 2, F.lit(True))))
+    found = langid.predict(docs, prototypes)
+    return found.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

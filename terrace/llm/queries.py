@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, langid
+from terrace.llm import bpe, decontaminate, langid
 from terrace.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -41,3 +41,25 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     prototypes = langid.train(docs.where(F.coalesce(fold("doc_id", 4) != 2, F.lit(True))))
     found = langid.predict(docs, prototypes)
     return found.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+SQL_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+
+@query(
+    f"""
+WITH d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {SQL_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, list_slice(w, p0, p0 + 9) AS words FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p0 FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(words) AS n FROM iw),
+dw AS (SELECT doc_id, p0, n, list_slice(w, p0, p0 + n - 1) AS words
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p0 FROM d JOIN sizes ON len(w) >= n)),
+f AS (SELECT doc_id, p0, n, words FROM dw SEMI JOIN iw USING (words)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(p0, p0 + n)) AS p FROM f) GROUP BY 1),
+m AS (SELECT doc_id, list(item ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM f JOIN iw USING (words)) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN m USING (doc_id)"""
+)
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

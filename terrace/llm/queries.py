@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, decontaminate, langid
+from terrace.llm import bpe, decontaminate, langid, quality
 from terrace.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -63,3 +63,15 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN m USING (doc_id)"""
 )
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model | None:
+    """The production classifier: learns from ``documents`` and ``labels`` outside the held-out fold."""
+    teaching = F.coalesce(fold("doc_id", 5) != 0, F.lit(True))
+    return quality.train(table(spark, sf_dir, "documents").where(teaching), table(spark, sf_dir, "labels").where(teaching))
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")

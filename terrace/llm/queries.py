@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, decontaminate, langid, quality
+from terrace.llm import bpe, decontaminate, langid, quality, simhash
 from terrace.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -75,3 +75,8 @@ def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model | None:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
     return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -93,7 +93,8 @@ def links(prints: DataFrame, count: int, radius: int = RADIUS, per_key: int = PE
         fps = np.unique(rows.column("fp").to_numpy().view(np.uint64))
         if len(fps) < 2:
             return nothing
-        used = np.bitwise_count((fps & key_mask) ^ np.int64(key[0].as_py()).astype(np.uint64))
+        flipped = (fps & key_mask) ^ np.int64(key[0].as_py()).astype(np.uint64)
+        used, base = np.bitwise_count(flipped), fps ^ flipped
         parent = np.arange(len(fps))
         found_a, found_b = [], []
         # Words are spelt out for one value of some free bits after the other: equal words always meet in one slice.
@@ -120,7 +121,7 @@ def links(prints: DataFrame, count: int, radius: int = RADIUS, per_key: int = PE
                     own = np.repeat(rows, n)
                 else:
                     own, at_mask = np.repeat(rows, len(mask)), np.tile(np.arange(len(mask)), len(rows))
-                words.append(fps[own] ^ mask[at_mask])
+                words.append(base[own] ^ mask[at_mask])
                 owners.append(own)
             if not words:
                 continue

@@ -7,8 +7,8 @@ minimum pair rank; each merge makes three logarithmic point updates on the live
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from terrace.llm.common import text_runs
 
-NEVER = 1 << 62
 MEMO_ENTRIES = 1 << 18
 MEMO_BYTES = 64
 
@@ -32,50 +31,55 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Token ids of one match: merge the leftmost pair of lowest rank until no pair has a rank."""
-    whole = ranks.get(piece)
+    find = ranks.get
+    whole = find(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
-    size = 1 << max(n - 2, 0).bit_length()
-    find = ranks.get
+    size = 1 << (n - 2).bit_length()
+    shift = max(14, size.bit_length())  # rank << shift | position: the minimum is the leftmost pair of lowest rank
+    position, never = (1 << shift) - 1, 1 << (shift + 32)
     end = list(range(1, n + 1))  # token at i covers piece[i:end[i]]
     before = list(range(-1, n))  # start of the token left of the one at i
-    tree = [NEVER] * (2 * size)  # rank << 32 | position: the minimum is the leftmost pair of lowest rank
+    tree = [never] * (2 * size)
     for i in range(n - 1):
         rank = find(piece[i : i + 2])
         if rank is not None:
-            tree[size + i] = rank << 32 | i
+            tree[size + i] = rank << shift | i
     for k in range(size - 1, 0, -1):
-        tree[k] = min(tree[2 * k], tree[2 * k + 1])
-
-    def put(i: int, key: int) -> None:
-        k = size + i
-        tree[k] = key
-        while k > 1:
-            other = tree[k ^ 1]
-            least = key if key < other else other
-            k >>= 1
-            if tree[k] == least:
-                return
-            tree[k] = key = least
-
-    def pair(i: int) -> int:
-        after = end[i]
-        rank = find(piece[i : end[after]]) if after < n else None
-        return NEVER if rank is None else rank << 32 | i
-
-    while tree[1] != NEVER:
-        i = tree[1] & 0xFFFFFFFF
+        left, right = tree[2 * k], tree[2 * k + 1]
+        tree[k] = left if left < right else right
+    least = tree[1]
+    while least != never:
+        i = least & position
         gone = end[i]
         end[i] = after = end[gone]
         if after < n:
             before[after] = i
-        if gone < n - 1:
-            put(gone, NEVER)
-        if i < n - 1:
-            put(i, pair(i))
-        if i > 0:
-            put(before[i], pair(before[i]))
+            rank = find(piece[i : end[after]])
+            changed = [(gone, never), (i, never if rank is None else rank << shift | i)]
+        else:
+            changed = [(i, never)]
+            if gone < n - 1:
+                changed.append((gone, never))
+        if i:
+            left = before[i]
+            rank = find(piece[left:after])
+            changed.append((left, never if rank is None else rank << shift | left))
+        for at, key in changed:
+            k = size + at
+            if tree[k] == key:
+                continue
+            tree[k] = key
+            while k > 1:
+                other = tree[k ^ 1]
+                if other < key:
+                    key = other
+                k >>= 1
+                if tree[k] == key:
+                    break
+                tree[k] = key
+        least = tree[1]
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : end[i]]])
@@ -84,22 +88,26 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder:
-    """Encoder with a bounded memo of short matches."""
+    """Encoder with a memo of short matches: two generations of bounded size, so that frequent ones stay."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.split, self.memo = ranks, regex.compile(pattern).findall, {}
-
-    def match_ids(self, match: str) -> list[int]:
-        ids = merge(match.encode("utf-8", "replace"), self.ranks)
+        self.ranks, self.split = ranks, regex.compile(pattern).findall
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def match_ids(self, match: str) -> bytes:
+        ids = self.old.get(match)
+        if ids is None:
+            ids = array("i", merge(match.encode("utf-8", "replace"), self.ranks)).tobytes()
         if len(match) <= MEMO_BYTES:
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()
-            self.memo[match] = ids
+            if len(self.young) >= MEMO_ENTRIES:
+                self.old, self.young = self.young, {}
+            self.young[match] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        known, own = self.memo.get, self.match_ids
-        return list(chain.from_iterable([known(m) or own(m) for m in self.split(text)]))
+    def encode(self, text: str) -> np.ndarray:
+        known, own = self.young.get, self.match_ids
+        return np.frombuffer(b"".join([known(m) or own(m) for m in self.split(text)]), np.int32)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -113,7 +121,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shipped.value, pattern)
         for part, texts in text_runs(batches, "t"):
-            each = [np.array(encoder.encode(t), np.int32) if t else np.empty(0, np.int32) for t in texts]
+            each = [encoder.encode(t or "") for t in texts]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(each)))
             yield pa.record_batch([part.column(0), ids], names=["k", "ids"])

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, decontaminate, langid, quality, simhash
-from terrace.llm.common import fold, table
+from terrace.llm import bpe, decontaminate, langid, quality, simhash, urls, warc
+from terrace.llm.common import fold, stage, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,29 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+
+@query()
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+@query(
+    """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS refers_to FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN refers_to <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN refers_to <> page_id THEN refers_to END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)"""
+)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = stage(warc.write(table(spark, sf_dir, "pages")), "warc")
+    back = warc.read(archives)
+    return back.select(
+        F.col("record_key").cast("long").alias("page_id"), "payload_bytes", F.coalesce(F.sha2("payload", 256), "payload_digest").alias("payload_digest"),
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, decontaminate, langid, quality, simhash, urls, warc
+from terrace.llm import bpe, decontaminate, langid, quality, simhash, suffixes, urls, warc
 from terrace.llm.common import fold, stage, table
 
 QUERIES: dict = {}
@@ -106,3 +106,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("record_key").cast("long").alias("page_id"), "payload_bytes", F.coalesce(F.sha2("payload", 256), "payload_digest").alias("payload_digest"),
         "record_type", F.col("refers_to").cast("long").alias("refers_to"),
     )
+
+
+@query()
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )

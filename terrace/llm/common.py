@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,3 +67,18 @@ def text_runs(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 2
             total += n
         if start < len(sizes):
             yield batch.slice(start), col.slice(start).to_pylist()
+
+
+def with_text_columns(docs: DataFrame, text: str, fields: dict[str, str], start: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
+    """All columns of ``docs`` and those of ``fields`` (name: type), computed from whole texts.
+
+    ``start`` is called once per task and returns a function from texts to one array per new column.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = start()
+        for part, texts in text_runs(batches, text):
+            yield pa.record_batch([*part.columns, *compute(texts)], names=[*part.schema.names, *fields])
+
+    shape = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
+    return docs.mapInArrow(run, ", ".join([*shape, *(f"`{n}` {t}" for n, t in fields.items())]))

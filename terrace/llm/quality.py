@@ -18,7 +18,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import text_runs
+from terrace.llm.common import text_runs, with_text_columns
 
 SAMPLE = 20_000  # positives, and as many unlabelled rows, that the model is fitted on
 CHARACTERS = 128  # hash buckets of character frequencies
@@ -170,3 +170,14 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
     kind = cols.schema["k"].dataType.simpleString()
     scored = cols.mapInArrow(run, f"k {kind}, score double").withColumnRenamed("k", key)
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def with_scores(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and ``_score``."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def start():
+        model = shipped.value
+        return lambda texts: [pa.array(model.scores(np.stack([measures(t) for t in texts])) if model else np.full(len(texts), 0.5))]
+
+    return with_text_columns(docs, text, {"_score": "double"}, start)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import salted_left_join, stage, text_runs
+from terrace.llm.common import salted_left_join, stage, text_runs, with_text_columns
 from terrace.llm.components import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+").findall
@@ -176,3 +176,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     member = labelled.select("fp", "root").join(least, "root").select("fp", "component_id")
     named = salted_left_join(prints, member, "fp", key)
     return named.select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, widths: tuple[int, ...], key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` but one document per group: that of the smallest key stays.
+
+    Documents are linked when their fingerprints of any of the shingle ``widths`` differ in ``2 * radius`` bits or fewer.
+    Rows that repeat a key are one document and stay together; a NULL key is a key, and the smallest.
+    """
+    names = [f"_fp{w}" for w in widths]
+
+    def start():
+        return lambda texts: [pa.array(np.array([fingerprint(t, w) for t in texts], np.uint64).view(np.int64)) for w in widths]
+
+    cols = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    prints = stage(with_text_columns(cols, "t", dict.fromkeys(names, "bigint"), start).drop("t"), "prints")
+    edges = None
+    for w, name in zip(widths, names, strict=True):
+        nodes = stage(prints.select(F.col(name).alias("fp")).distinct(), "nodes")
+        near = links(nodes, nodes.count(), radius)
+        own = near.select(*(F.xxhash64(c, F.lit(w)).alias(c) for c in "ab"))
+        edges = own if edges is None else edges.union(own)
+    first = F.xxhash64(names[0], F.lit(widths[0]))
+    for w, name in zip(widths[1:], names[1:], strict=True):  # the fingerprints of one text belong together
+        edges = edges.union(prints.select(first.alias("a"), F.xxhash64(name, F.lit(w)).alias("b")).distinct())
+    roots = components(edges)
+    nodes = prints.groupBy(first.alias("node")).agg(F.min(F.struct("k")).alias("least"))
+    member = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    chosen = member.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.k").alias("_chosen"))
+    return docs.join(chosen, docs[key].eqNullSafe(chosen["_chosen"]), "left_semi")

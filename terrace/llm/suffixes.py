@@ -264,8 +264,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     return whole.union(_shared_windows(judged.where("NOT removed").drop("removed"), located, length, bucket, split))
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, bucket: int = BUCKET, split: int = SPLIT) -> DataFrame:
-    """All columns of ``docs`` with ``_n_bytes``, ``_n_removed``, ``_n_spans`` and ``_kept`` (the remaining bytes) added.
+def remove_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, bucket: int = BUCKET, split: int = SPLIT,
+) -> DataFrame:
+    """All columns of ``docs`` with ``_n_bytes``, ``_n_removed``, ``_n_spans``, ``_kept`` (the remaining bytes) added.
 
     ``key`` is a whole number. NULL and empty texts have no bytes; texts shorter than ``length`` keep all. Of equal strings
     the one with the smallest key, then the smallest start, stays. A NULL key counts as the smallest. Rows that repeat key
@@ -297,3 +299,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return joined.mapInArrow(run, f"{shape}, _n_bytes bigint, _n_removed bigint, _n_spans bigint, _kept binary")
+
+
+def kept_text(removed: DataFrame) -> DataFrame:
+    """The result of :func:`remove_repeats` with ``_kept_text``: characters that lost only some of their bytes go whole."""
+    shape = [f"`{f.name}` {f.dataType.simpleString()}" for f in removed.schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.as_py().decode("utf-8", "ignore") for x in batch.column("_kept")]
+            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "_kept_text"])
+
+    return removed.mapInArrow(run, ", ".join([*shape, "_kept_text string"]))

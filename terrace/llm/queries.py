@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, decontaminate, langid, quality, simhash, suffixes, urls, warc
+from terrace.llm import bpe, decontaminate, langid, neighbours, quality, simhash, suffixes, urls, warc
 from terrace.llm.common import fold, stage, table
 
 QUERIES: dict = {}
@@ -115,3 +115,9 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
+
+
+@query()
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors.where(F.col("vec_id") % 20 == 0), vectors)

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def text_runs(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 2
     """Slices of the batches with at most ``most`` bytes of text each (or one row), and their texts."""
     for batch in batches:
         col = batch.column(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if total and total + n > most:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, decontaminate, langid, neighbours, quality, simhash, suffixes, urls, warc
+from terrace.llm import bpe, decontaminate, langid, licences, neighbours, quality, simhash, suffixes, urls, warc
 from terrace.llm.common import fold, stage, table
 
 QUERIES: dict = {}
@@ -121,3 +121,10 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors.where(F.col("vec_id") % 20 == 0), vectors)
+
+
+@query()
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = docs.select("doc_id", "text", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"))
+    return licences.inherit(licences.scan(files), "doc_id")

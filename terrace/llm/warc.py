@@ -14,7 +14,6 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

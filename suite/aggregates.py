@@ -87,7 +87,10 @@ def catalog_null_counts(spark, sf):
     return rollups.null_counts(lake.bronze(spark, sf), silver_layer.RAW_COLUMNS)
 
 
-COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
+COUNTED = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+]
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in COUNTED))

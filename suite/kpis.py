@@ -98,7 +98,20 @@ FROM fact WHERE release_year BETWEEN 1995 AND 2021 GROUP BY release_year"""
     )
 )
 def yearly_trend(spark, sf):
-    return views.yearly_trend(lake.star(spark, sf))
+    return views.yearly_trend(lake.star(spark, sf), 1995, 2021)
+
+
+@query(
+    over_fact(
+        """
+SELECT release_year, count(DISTINCT show_id) AS total_releases,
+       count(DISTINCT CASE WHEN type = 'Movie' THEN show_id END) AS movie_releases,
+       count(DISTINCT CASE WHEN type = 'TV Show' THEN show_id END) AS tv_releases
+FROM fact WHERE release_year IS NOT NULL GROUP BY release_year"""
+    )
+)
+def yearly_trend_of_all_years(spark, sf):
+    return views.yearly_trend(lake.star(spark, sf)).where("release_year IS NOT NULL")
 
 
 COUNTRY_PROFILE = f"""

@@ -37,7 +37,7 @@ def csv_text_round_trip(spark, sf):
     path = _folder(spark, "csvtext")
     keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     docs.write.options(header="true", escape='"', quoteAll="true", **keep).csv(path)
-    cfg = {"format": "csv", "path": path, "schema": readers.string_schema(docs.columns), "options": keep}
+    cfg = {"format": "csv", "path": path, "schema": readers.string_schema(docs.columns), "options": {**keep, "multiLine": "true"}}
     return readers.read_source(spark, cfg).select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("text_md5"), "lang")
 
 
@@ -47,7 +47,7 @@ def json_round_trip(spark, sf):
     path = _folder(spark, "json")
     parts.write.json(path)
     # One object per line: the files stay splittable.
-    return readers.read_source(spark, {"format": "json", "path": path, "schema": parts.schema, "options": {"multiLine": "false"}})
+    return readers.read_source(spark, {"format": "json", "path": path, "schema": parts.schema})
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
@@ -63,6 +63,22 @@ def payload_rows(spark, sf):
     return readers.payloads_to_df(table(spark, sf, "events"), "props", "k int", keep=["event_id"])
 
 
+def _some_damaged(spark, sf):
+    """Event bodies, every third cut short and every fifth missing."""
+    body = F.when(F.col("event_id") % 5 == 0, None).when(F.col("event_id") % 3 == 0, F.expr("substring(props, 1, length(props) - 1)")).otherwise(F.col("props"))
+    return table(spark, sf, "events").select("event_id", body.alias("body"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN left(props, length(props) - 1) END AS body FROM events WHERE event_id % 5 = 0 OR event_id % 3 = 0")
+def payloads_that_cannot_be_read(spark, sf):
+    return readers.bad_payloads(_some_damaged(spark, sf), "body", "k int")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE event_id % 5 <> 0 AND event_id % 3 <> 0")
+def payloads_read_beside_damaged_ones(spark, sf):
+    return readers.payloads_to_df(_some_damaged(spark, sf), "body", "k int", keep=["event_id"])
+
+
 @query(
     """
 SELECT 'party_' || kind AS source, party_key, name FROM (

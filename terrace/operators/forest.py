@@ -33,17 +33,13 @@ def average_path(n: np.ndarray | int) -> np.ndarray | float:
 def _sample(points: DataFrame, key: str, rows: int, trees: int, psi: int, seed: int) -> DataFrame:
     """``psi`` rows per tree, chosen by hash so that partitioning does not matter.
 
-    Trees draw from a hashed pool of about ``trees * psi`` rows, so only the
-    pool is repeated per tree, whatever the size of the input.
+    Every tree draws from all rows: a row joins the trees for which its hash falls below one share, the same rule at every
+    size. The share leaves a margin of eight standard deviations above ``psi`` expected rows, so that no tree falls short.
     """
-    pool_share = min(1.0, 1.1 * trees * psi / max(rows, 1))
-    pool = points.filter(_unit(F.xxhash64(F.col(key), F.lit(seed))) < pool_share) if pool_share < 1.0 else points
-    per_tree = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    # Twice psi candidates are expected per tree, so fewer than psi is all but impossible.
-    per_tree = per_tree.withColumn("_hash", F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)))
-    tree_share = 2.0 * psi / max(rows * pool_share, 1.0)
-    if psi >= 64 and tree_share < 1.0:
-        per_tree = per_tree.filter(_unit(F.col("_hash")) < tree_share)
+    share = (psi + 8.0 * math.sqrt(psi) + 16.0) / max(rows, 1)
+    hashed = lambda tree: F.xxhash64(F.col(key), tree, F.lit(seed))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: _unit(hashed(tree)) < share)
+    per_tree = points.withColumn("tree", F.explode(drawn)).withColumn("_hash", hashed(F.col("tree")))
     draw = Window.partitionBy("tree").orderBy("_hash", key)
     return per_tree.withColumn("_draw", F.row_number().over(draw)).filter(F.col("_draw") <= psi)
 
@@ -127,10 +123,25 @@ def isolation_scores(
 
 
 def isolation_outliers(df: DataFrame, key: str, features: Sequence[str], contamination: float = CONTAMINATION, **forest) -> DataFrame:
-    """M4: the rows scoring above the (1 - contamination) quantile."""
+    """M4: the rows scoring above the (1 - contamination) quantile, which is exact."""
     scored = isolation_scores(df, key, features, **forest)
-    cut = scored.agg(F.percentile_approx("score", 1.0 - contamination, 10_000)).scalar()
-    return scored.filter(F.col("score") > cut)
+    return scored.filter(F.col("score") > _quantile(scored, "score", 1.0 - contamination))
+
+
+def _quantile(df: DataFrame, col: str, share: float) -> Column:
+    """The smallest value with at least ``share`` of the rows at or below it.
+
+    A sketch brackets it; the rank inside the bracket, a few thousandths of the rows, is then counted exactly.
+    """
+    error = 1e-3
+    bounds = [max(share - error, 0.0), min(share + error, 1.0)]
+    low, high, rows = df.agg(F.percentile_approx(col, bounds, 10_000).alias("b"), F.count(col).alias("n")).select(F.col("b")[0], F.col("b")[1], "n").first()
+    if not rows:
+        return F.lit(None).cast("double")
+    rank = max(math.ceil(share * rows - 1e-9), 1)
+    below = df.filter(F.col(col) < low).count()
+    found = df.filter(F.col(col).between(low, high)).orderBy(col).offset(rank - below - 1).limit(1).select(col).first()
+    return F.lit(found[0])
 
 
 def describe_outliers(outliers: DataFrame, name: str = "country_name") -> DataFrame:

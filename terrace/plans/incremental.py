@@ -134,7 +134,7 @@ def apply_scd2(
         first = scd.scd2_initial(source, keys, as_of, now, scd.UNIQUE)
         inserted = source.count()
         if inserted:  # an empty partitioned table would have no files and so no schema
-            sinks.write_table(first, path, partition_by=[partition_by])
+            sinks.replace_table(first, path, [partition_by])
         return {"inserted": inserted, "expired": 0, "new_version": 0}
 
     changes = sinks.stage(scd.scd2_changes(target, source, keys, compare, as_of, now, scd.UNIQUE), "changes")
@@ -158,7 +158,7 @@ def apply_bridge(spark: SparkSession, path: str, incoming: DataFrame, key: str)
     if sinks.table_exists(spark, path):
         sinks.replace_table(tables.replace_bridge(spark.read.parquet(path), incoming, key), path)
     else:
-        sinks.write_table(incoming, path)
+        sinks.replace_table(incoming, path)
 
 
 # --- the run ------------------------------------------------------------------------------------
@@ -172,16 +172,22 @@ class Steps:
         self.rows: list[dict[str, Any]] = []
 
     def timed(self, stage: str, job: Callable[[], Any]) -> Any:
-        start = datetime.now()
-        result = job()
-        end = datetime.now()
-        self.rows.append(
-            {
-                "pipeline_run_id": self.run_id, "pipeline_stage": stage, "start_time": start, "end_time": end,
-                "execution_duration_ms": int((end - start).total_seconds() * 1000), "execution_status": "SUCCESS",
-            }
-        )
-        return result
+        """Run a step; a step that raises is kept as FAILED with its message."""
+        start, failure = datetime.now(), None
+        try:
+            return job()
+        except Exception as err:
+            failure = str(err)
+            raise
+        finally:
+            end = datetime.now()
+            self.rows.append(
+                {
+                    "pipeline_run_id": self.run_id, "pipeline_stage": stage, "start_time": start, "end_time": end,
+                    "execution_duration_ms": int((end - start).total_seconds() * 1000),
+                    "execution_status": "FAILED" if failure is not None else "SUCCESS", "error_message": failure,
+                }
+            )
 
     def note(self, stage: str, **counts: Any) -> None:
         for row in self.rows:
@@ -220,6 +226,8 @@ def _load(
     spark: SparkSession, layout: Layout, steps: Steps, batch_id: str, run_id: str, as_of: date, now: datetime,
     full: bool, rules: quality.Rules | None, gate: bool, compare: Sequence[str], order: Sequence | None,
 ) -> RunMetrics:
+    for name in ("silver_titles_scd2", *silver_layer.BRIDGES):
+        sinks.recover(spark, layout.silver(name))
     bronze = consolidate([spark.read.parquet(p) for p in layout.bronze], run_id)
     mark = EPOCH if full else read_watermark(spark, layout.metadata("watermarks"), layout.name)
     day = "ingestion_date" if "ingestion_date" in bronze.columns else None
@@ -314,7 +322,7 @@ def run_pipeline(
     try:
         result = _load(spark, layout, steps, batch_id, run_id, as_of, now, full, rules, gate, compare, order)
     except Exception as err:
-        close("FAILED", error_details=str(err)[:4000])
+        close("FAILED", error_details=str(err))
         raise
     if result.status == "SKIPPED":
         close("SKIPPED", watermark_timestamp=result.watermark)

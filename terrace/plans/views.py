@@ -97,9 +97,10 @@ def filtered_genres(star: Star, context: Mapping[str, Any], n: int = 10) -> Data
     return ranking.top_n(named, [F.desc("titles_count"), F.asc("genre_name")], n)
 
 
-def yearly_trend(star: Star, first: int = 1995, last: int = 2021, context: Mapping[str, Any] | None = None) -> DataFrame:
-    """K9: titles per year in a range, with counts by type."""
-    span = {**(context or {}), "start_year": first, "end_year": last}
+def yearly_trend(star: Star, first: int | None = None, last: int | None = None, context: Mapping[str, Any] | None = None) -> DataFrame:
+    """K9: titles per year, all years or those of a range, with counts by type."""
+    bounds = {"start_year": first, "end_year": last}
+    span = {**(context or {}), **{k: v for k, v in bounds.items() if v is not None}}
     df = apply_filters(with_attributes(star, *_needed(context, "type")), span, FILTER_COLUMNS)
     flags = {"movie_releases": F.col("type") == "Movie", "tv_releases": F.col("type") == "TV Show"}
     return rollups.entity_rollup(df, ["release_year"], "title_key", flags, out="total_releases").orderBy("release_year")

@@ -35,5 +35,7 @@ def workspace(spark: SparkSession) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = _local_fallback.setdefault(app, tempfile.mkdtemp(prefix="terrace-"))
+        if app not in _local_fallback:
+            _local_fallback[app] = tempfile.mkdtemp(prefix="terrace-")
+        shared = _local_fallback[app]
     return f"{shared.rstrip('/')}/terrace/{app}"

@@ -12,7 +12,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,10 +23,11 @@ class SourceError(ValueError):
     """A source that is unknown, misconfigured or absent."""
 
 
-# Option sets of the catalog's file formats.
+# Option sets of the catalog's file formats. Files split over tasks; a source whose records span lines
+# (quoted line breaks, one JSON array) asks for ``multiLine`` in its own options.
 FORMAT_OPTIONS: dict[str, dict[str, str]] = {
-    "csv": {"header": "true", "delimiter": ",", "quote": '"', "escape": '"', "multiLine": "true"},
-    "json": {"multiLine": "true"},
+    "csv": {"header": "true", "delimiter": ",", "quote": '"', "escape": '"'},
+    "json": {},
     "xml": {"rowTag": "row"},
     "parquet": {},
 }
@@ -62,13 +63,32 @@ def jdbc_options(cfg: Mapping[str, Any]) -> dict[str, str]:
     return options
 
 
-def payloads_to_df(payloads: DataFrame, col: str, schema: T.StructType | str, keep: Iterable[str] = ()) -> DataFrame:
-    """JSON response bodies to rows; a body is one object or an array of objects."""
+def _parsed(col: str, schema: T.StructType | str) -> Column:
     struct = schema if isinstance(schema, str) else schema.simpleString()
     if not struct.startswith("struct<"):
         struct = f"struct<{struct}>"
-    rows = F.from_json(F.col(col), f"array<{struct}>")
-    return payloads.select(*keep, F.inline(rows))
+    return F.from_json(F.col(col), f"array<{struct}>")
+
+
+def _damaged(col: str, rows: Column) -> Column:
+    """No body, no parse, or fewer objects than the body's array has elements."""
+    elements = F.json_array_length(col)
+    complete = F.coalesce(F.size(F.filter(rows, lambda r: r.isNotNull())) == elements, F.size(rows) >= 1)
+    return F.col(col).isNull() | rows.isNull() | ~F.coalesce(complete, F.lit(False))
+
+
+def payloads_to_df(payloads: DataFrame, col: str, schema: T.StructType | str, keep: Iterable[str] = ()) -> DataFrame:
+    """JSON response bodies to rows; a body is one object or an array of objects.
+
+    Bodies that cannot be read whole give no rows here; ``bad_payloads`` returns them.
+    """
+    rows = _parsed(col, schema)
+    return payloads.where(~_damaged(col, rows)).select(*keep, F.inline(rows))
+
+
+def bad_payloads(payloads: DataFrame, col: str, schema: T.StructType | str) -> DataFrame:
+    """The bodies that ``payloads_to_df`` leaves out, with all their columns, to be quarantined or fetched again."""
+    return payloads.where(_damaged(col, _parsed(col, schema)))
 
 
 def fetch_payloads(requests: DataFrame, fetch: Callable[[str], str], url: str = "url") -> DataFrame:

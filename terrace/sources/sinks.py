@@ -13,11 +13,81 @@ from pyspark.sql import functions as F
 from terrace.session import workspace
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether something is stored at ``path``, on whatever file system it names."""
+# Beside a table: replacements that are written but not yet swapped in. The marker is what commits one.
+PENDING = "__pending"
+COMMITTED = "_COMMITTED"
+
+
+def _located(spark: SparkSession, path: str):
+    """The Hadoop path and the file system that holds it."""
     sc = spark.sparkContext
     location = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(sc._jsc.hadoopConfiguration()).exists(location)
+    return location, location.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished write is stored at ``path``; a folder that a dying write left behind is no table."""
+    marker, fs = _located(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of derived data, if it is there."""
+    location, fs = _located(spark, path)
+    fs.delete(location, True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``. Repeating it after a crash gives the same state."""
+    location, fs = _located(spark, target)
+    fs.delete(location, True)
+    fs.mkdirs(location.getParent())
+    if not fs.rename(_located(spark, source)[0], location):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _swap(spark: SparkSession, pending: str, path: str) -> None:
+    """Bring a committed replacement into place: the whole table, or its partition directories one by one."""
+    whole, fs = _located(spark, f"{pending}/table")
+    if fs.exists(whole):
+        _move(spark, f"{pending}/table", path)
+    parts, _ = _located(spark, f"{pending}/partitions")
+    if fs.exists(parts):
+        leaves = {f.getPath().getParent() for f in _files(fs, parts) if not f.getPath().getName().startswith(("_", "."))}
+        for leaf in sorted(leaves, key=str):
+            inside = leaf.toUri().getPath()[len(parts.toUri().getPath()) + 1 :]
+            _move(spark, f"{pending}/partitions/{inside}", f"{path}/{inside}")
+    discard(spark, pending)
+
+
+def _files(fs, location) -> list:
+    found, listing = [], fs.listFiles(location, True)
+    while listing.hasNext():
+        found.append(listing.next())
+    return found
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish the committed replacements of a table that a crash interrupted, and drop those never committed."""
+    pending, fs = _located(spark, f"{path}{PENDING}")
+    if not fs.exists(pending):
+        return
+    for found in sorted((f.getPath() for f in fs.listStatus(pending)), key=str):
+        marker, _ = _located(spark, f"{found}/{COMMITTED}")
+        if fs.exists(marker):
+            _swap(spark, str(found), path)
+        else:
+            discard(spark, str(found))
+
+
+def _replace(spark: SparkSession, path: str, kind: str, write: Callable[[str], None]) -> None:
+    """Write a replacement beside the table, commit it by one marker file, and swap it in."""
+    recover(spark, path)
+    pending = f"{path}{PENDING}/{uuid.uuid4().hex}"
+    write(f"{pending}/{kind}")
+    marker, fs = _located(spark, f"{pending}/{COMMITTED}")
+    fs.create(marker).close()
+    _swap(spark, pending, path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
@@ -59,16 +129,20 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table by a frame that may read it.
 
-    The new content is staged in the shared folder first, so a failed
-    replacement can be repeated from the staged copy.
+    The new content is written once, beside the table, and then moved into
+    its place. A crash leaves either the old table or a committed replacement
+    that ``recover`` finishes.
     """
-    write_table(stage(df), path, "overwrite", partition_by)
+    _replace(df.sparkSession, path, "table", lambda at: write_table(df, at, "overwrite", partition_by))
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df``; the others are not touched."""
-    staged = stage(df).hint("rebalance", *partition_by)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    """Replace only the partitions present in ``df``; the others are not touched.
+
+    All new partitions are written before the first one is moved, so a crash
+    in between is finished by ``recover``.
+    """
+    _replace(df.sparkSession, path, "partitions", lambda at: write_table(df, at, "overwrite", partition_by))
 
 
 def partition_counts(spark: SparkSession, path: str, partition_by: str) -> DataFrame:

@@ -54,13 +54,13 @@ def test_unknown_source_format_and_path(spark, tmp_path):
 
 def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     (tmp_path / "q.csv").write_text('a,b\n1,"say ""hi"",\nthen go"\n2,\n')
-    df = readers.read_source(spark, {"format": "csv", "path": str(tmp_path / "q.csv"), "schema": "a string, b string"})
+    df = readers.read_source(spark, {"format": "csv", "path": str(tmp_path / "q.csv"), "schema": "a string, b string", "options": {"multiLine": "true"}})
     assert [tuple(r) for r in df.orderBy("a").collect()] == [("1", 'say "hi",\nthen go'), ("2", None)]
 
 
 def test_json_array_and_xml_rows(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"show_id": "s1", "title": "A"},\n {"show_id": "s2"}]')
-    df = readers.read_source(spark, {"format": "json", "path": str(tmp_path / "a.json"), "schema": "show_id string, title string"})
+    df = readers.read_source(spark, {"format": "json", "path": str(tmp_path / "a.json"), "schema": "show_id string, title string", "options": {"multiLine": "true"}})
     assert [tuple(r) for r in df.orderBy("show_id").collect()] == [("s1", "A"), ("s2", None)]
     (tmp_path / "a.xml").write_text("<shows><show><show_id>s1</show_id><title>A &amp; B</title></show><show><show_id>s2</show_id></show></shows>")
     cfg = {"format": "xml", "path": str(tmp_path / "a.xml"), "schema": "show_id string, title string", "options": {"rowTag": "show"}}
@@ -97,3 +97,10 @@ def test_lineage_can_name_each_rows_own_file(spark, tmp_path):
     stamped = stamp_audit(df, batch_id="b", run_id="r", source_system="s", source_file=None, load_type="FULL", now=NOW)
     assert stamped.select("source_file").distinct().count() == 2
     assert stamped.filter(F.col("source_file").contains(str(tmp_path))).count() == 4
+
+
+def test_bad_payloads_are_returned(spark):
+    bodies = ["{bad", '[{"k": 1}, 5]', None, "[]", '{"k": 1}', "null", "", '[{"k": 1}', '[{"k": 2}, {"k": null}]']
+    df = spark.createDataFrame(list(enumerate(bodies)), "id int, payload string")
+    assert sorted(r.id for r in readers.bad_payloads(df, "payload", "k int").collect()) == [0, 1, 2, 5, 6, 7]
+    assert sorted((r.id, r.k) for r in readers.payloads_to_df(df, "payload", "k int", keep=["id"]).fillna(-1).collect()) == [(4, 1), (8, -1), (8, 2)]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.plans import incremental, silver
+from terrace.sources import sinks
 from terrace.streaming import continuous
 
 from fixtures import raw_frame
@@ -132,3 +133,37 @@ def test_two_row_file_end_to_end(spark, layout):
     _run(spark, layout, 1)
     gold = {n: spark.read.parquet(f"{layout.gold}/{n}").count() for n in ("dim_title", "fact_content", "kpi_country_summary")}
     assert gold == {"dim_title": 2, "fact_content": 2, "kpi_country_summary": 2}
+
+
+@pytest.mark.parametrize("dies_at", range(1, 8))
+def test_a_run_that_dies_at_a_swap_is_run_again(spark, layout, tmp_path, monkeypatch, dies_at):
+    _run(spark, layout, 1)
+    second = str(tmp_path / "bronze_second")
+    raw_frame(spark, [_record("s3", "Third", "Peru"), _record("s1", "Renamed", "Chad")], datetime(2026, 7, 14, 6)).write.parquet(second)
+    both = incremental.Layout([*layout.bronze, second], layout.root)
+    move, calls = sinks._move, []
+
+    def dying(spark, source, target):
+        calls.append(target)
+        if len(calls) >= dies_at:
+            sinks.discard(spark, target)  # the old folder is gone when the driver dies
+            raise RuntimeError("dies")
+        move(spark, source, target)
+
+    monkeypatch.setattr(sinks, "_move", dying)
+    try:
+        _run(spark, both, 2)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(sinks, "_move", move)
+    if len(calls) >= dies_at:
+        steps = spark.read.parquet(both.metadata("pipeline_steps")).filter("execution_status = 'FAILED'").collect()
+        assert steps and all("dies" in r.error_message for r in steps)
+        assert _run(spark, both, 2).status == "SUCCESS"
+    titles = spark.read.parquet(both.silver("silver_titles_scd2"))
+    assert sorted((r.show_id, r.title, r.is_current) for r in titles.collect()) == [
+        ("s1", "Renamed", True), ("s1", "Title One", False), ("s2", "Title Two", True), ("s3", "Third", True),
+    ]
+    countries = sorted(tuple(r) for r in spark.read.parquet(both.silver("silver_country")).collect())
+    assert countries == [("s1", "Chad"), ("s2", "India"), ("s3", "Peru")]
+    assert spark.read.parquet(f"{both.gold}/fact_content").count() >= 3

@@ -13,18 +13,20 @@ from fixtures import raw_frame
 
 @pytest.fixture
 def built(spark):
-    # Leading blanks sort first, so the untidy copy of s1 is the one kept.
+    # Leading blanks sort first, so the untidy copy of m7 is the one kept.
     return silver.build_silver(raw_frame(spark), 2026, order=[F.col("title").asc()])
 
 
 def test_titles(built):
     got = {r.show_id: r for r in built.titles.collect()}
-    assert set(got) == {"s1", "s2", "s3"}
-    s1, s2, s3 = got["s1"], got["s2"], got["s3"]
-    assert (s1.type, s1.title, s1.date_added, s1.duration_minutes, s1.season_count) == ("Movie", "Dick Johnson Is Dead", date(2021, 9, 25), 90, None)
-    assert (s1.is_recent_release, s1.content_age) == (False, 6)
-    assert (s2.type, s2.season_count, s2.duration_minutes, s2.is_recent_release) == ("TV Show", 2, None, True)
-    assert (s3.rating, s3.date_added) == ("UR", None)
+    assert set(got) == {"m7", "m9", "t2"}
+    movie, series, undated = got["m7"], got["t2"], got["m9"]
+    assert (movie.type, movie.title, movie.date_added) == ("Movie", "Harbour Lights", date(2018, 3, 3))
+    assert (movie.duration_minutes, movie.season_count, movie.rating) == (104, None, "UR")
+    assert (movie.is_recent_release, movie.content_age) == (False, 9)
+    assert (series.type, series.season_count, series.duration_minutes) == ("TV Show", 3, None)
+    assert (series.is_recent_release, series.content_age) == (True, 1)
+    assert (undated.rating, undated.date_added, undated.duration_minutes) == ("PG", None, 81)
 
 
 def test_titles_schema(built):
@@ -35,14 +37,15 @@ def test_titles_schema(built):
 
 def test_bridges(built):
     pairs = {n: sorted(tuple(r) for r in df.collect()) for n, df in built.bridges.items()}
-    assert pairs["silver_country"] == [("s1", "United States"), ("s2", "South Africa"), ("s2", "Usa"), ("s3", "Unknown Country")]
-    assert [v for k, v in pairs["silver_cast"] if k == "s2"] == ["Actor A", "Actor B"]
-    assert [v for k, v in pairs["silver_genres"] if k == "s2"] == ["Dramas", "Mysteries"]
-    assert [v for k, v in pairs["silver_directors"] if k == "s3"] == ["Unknown Director"]
+    assert pairs["silver_country"] == [("m7", "New Zealand"), ("m9", "Unknown Country"), ("t2", "Kenya"), ("t2", "Peru")]
+    assert [v for k, v in pairs["silver_cast"] if k == "m7"] == ["Ada Lind", "Tom Okoro"]
+    assert [v for k, v in pairs["silver_genres"] if k == "m7"] == ["Sea Stories", "Thrillers"]
+    assert [v for k, v in pairs["silver_directors"] if k == "m9"] == ["Ito Mai", "Ravi Sen"]
+    assert [v for k, v in pairs["silver_directors"] if k == "t2"] == ["Unknown Director"]
 
 
 def test_date_rejects(built):
-    assert [(r.show_id, r.reason_for_failure) for r in built.rejects.collect()] == [("s4", "Unparseable date_added format")]
+    assert [(r.show_id, r.reason_for_failure) for r in built.rejects.collect()] == [("x4", "Unparseable date_added format")]
 
 
 def test_metrics_in_one_row(spark):

@@ -1,3 +1,4 @@
+import math
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -54,12 +55,23 @@ def test_isolation_forest_finds_planted_points_whatever_the_partitioning(spark):
     assert 0.10 <= found.count() / 602 <= 0.16
 
 
-def test_isolation_forest_draws_from_a_bounded_pool(spark):
-    points = spark.range(20_000).select(F.concat(F.lit("p"), "id").alias("name"), F.rand(3).alias("x"))
-    sample = forest._sample(points, "name", 20_000, trees=10, psi=64, seed=42)
-    per_tree = {r["tree"]: r["count"] for r in sample.groupBy("tree").count().collect()}
-    assert per_tree == {t: 64 for t in range(10)}
-    assert sample.select("name").distinct().count() < 800
+@pytest.mark.parametrize("rows", [500, 100_000])
+def test_trees_draw_from_all_rows_by_one_rule(spark, rows):
+    points = spark.range(rows).select(F.concat(F.lit("p"), "id").alias("name"), F.rand(3).alias("x"))
+    sample = forest._sample(points, "name", rows, trees=10, psi=64, seed=42)
+    drawn = {t: {r.name for r in sample.filter(F.col("tree") == t).collect()} for t in range(2)}
+    smallest = F.xxhash64("name", F.col("tree"), F.lit(42))
+    for tree, names in drawn.items():
+        assert names == {r.name for r in points.withColumn("tree", F.lit(tree)).orderBy(smallest, "name").limit(64).collect()}
+    assert {r["count"] for r in sample.groupBy("tree").count().collect()} == {64}
+
+
+def test_quantile_is_exact(spark):
+    values = [((i * 7919) % 30_011) / 7 for i in range(30_011)]
+    df = spark.createDataFrame([(v,) for v in values], "s double").repartition(7)
+    ranked = sorted(values)
+    for share in (0.0, 0.5, 0.85, 1.0):
+        assert df.select(forest._quantile(df, "s", share)).first()[0] == ranked[max(math.ceil(share * len(values)), 1) - 1]
 
 
 def test_average_path_lengths():

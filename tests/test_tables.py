@@ -94,6 +94,9 @@ def test_align_and_blank(spark):
     [
         "DROP TABLE t", "INSERT INTO t SELECT 1", "CREATE VIEW v AS SELECT 1", "SET x = 1", "SELECT 1; DROP TABLE t",
         "SELECT 1) a; DROP TABLE t --", "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", "TRUNCATE TABLE t", "",
+        "SHOW TABLES", "DESCRIBE TABLE t", "SELECT TRANSFORM(id) USING 'cat' AS (a) FROM range(3)", "SELECT java_method('java.lang.Math', 'random')",
+        "SELECT id FROM range(3) WHERE EXISTS (SELECT reflect('java.lang.Math', 'random'))", "SELECT * FROM parquet.`/tmp/x`",
+        "SELECT (SELECT max(a) FROM json.`/tmp/x`) AS m", "WITH a AS (SELECT try_reflect('java.lang.Math', 'random') AS r) SELECT r FROM a",
     ],
 )
 def test_statements_that_are_no_query_are_refused(spark, sql):
@@ -115,3 +118,48 @@ def test_telemetry_rows(spark, tmp_path):
     assert telemetry.latest_success(runs).first().pipeline_run_id == "r2"
     assert [r.pipeline_run_id for r in telemetry.failed_runs(runs).collect()] == ["r1"]
     assert [r.pipeline_run_id for r in telemetry.duration_trend(runs).collect()] == ["r0", "r1", "r2"]
+
+
+def _partitions(spark, path):
+    return sorted((r.p, r.id) for r in spark.read.parquet(path).collect())
+
+
+def test_a_replacement_that_dies_is_finished_or_dropped(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.replace_table(spark.range(8).withColumn("p", F.col("id") % 4), path, ["p"])
+    before = _partitions(spark, path)
+    changed = spark.read.parquet(path).filter("p < 3").withColumn("id", F.col("id") + 100)
+    after = sorted((p, i + 100 if p < 3 else i) for p, i in before)
+    move, moved = sinks._move, []
+
+    def dying(spark, source, target):
+        if len(moved) == 1:
+            raise RuntimeError("the driver dies between two partitions")
+        moved.append(target)
+        move(spark, source, target)
+
+    monkeypatch.setattr(sinks, "_move", dying)
+    with pytest.raises(RuntimeError):
+        sinks.replace_partitions(changed, path, ["p"])
+    monkeypatch.setattr(sinks, "_move", move)
+    assert _partitions(spark, path) not in (before, after)
+    sinks.recover(spark, path)
+    assert _partitions(spark, path) == after
+    assert not list((tmp_path / "t__pending").iterdir())
+
+    (tmp_path / "t__pending" / "never" / "partitions" / "p=0").mkdir(parents=True)  # written in part, not committed
+    sinks.recover(spark, path)
+    assert _partitions(spark, path) == after
+
+
+def test_a_table_lost_while_it_was_swapped_comes_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.replace_table(spark.range(3), path)
+    monkeypatch.setattr(sinks, "_swap", lambda *a: sinks.discard(spark, path))  # the old files are gone, the new not there
+    sinks.replace_table(spark.read.parquet(path).filter("id > 0"), path)
+    monkeypatch.undo()
+    assert not sinks.table_exists(spark, path)
+    sinks.recover(spark, path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+    (tmp_path / "half" / "_temporary").mkdir(parents=True)
+    assert not sinks.table_exists(spark, str(tmp_path / "half"))

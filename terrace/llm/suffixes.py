@@ -94,7 +94,9 @@ def _cut(located: DataFrame, length: int) -> DataFrame:
         again = np.zeros(len(h), bool)
         again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (m[order[1:]] == m[order[:-1]]) & ((doc[order[1:]] != doc[order[:-1]]) | (part[order[1:]] != part[order[:-1]]) | (at[order[1:]] != at[order[:-1]]))
         again[order[1:]] &= ~_same_as_first(order, h, m, doc, part, at)
-        at, m = np.where(again, -at - 1, at), np.where(again, h, m)
+        # Certain removals need no partner: deal them by their own place, or the copies of one piece would meet in one task.
+        own = (doc.view(np.uint64) + np.uint64(1)) * np.uint64(_MULTIPLIER) ^ at.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        at, m = np.where(again, -at - 1, at), np.where(again, own ^ (own >> np.uint64(31)), m)
         return pa.record_batch([pa.array(m.view(np.int64)), pa.array(h.view(np.int64)), pa.array(doc), pa.array(part), pa.array(at)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

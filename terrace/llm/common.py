@@ -40,9 +40,17 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:
-    """Broadcast a side whose counted rows are few; beyond that Spark shuffles both sides."""
-    return F.broadcast(df) if rows <= most else df
+BROADCAST_BYTES = 64 << 20
+
+
+def measured(df: DataFrame) -> int:
+    """Bytes of a frame's rows, as JSON text."""
+    return df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()[0]
+
+
+def broadcast_if_small(df: DataFrame, size: int, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a side of few measured bytes; beyond that Spark shuffles both sides."""
+    return F.broadcast(df) if size <= most else df
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, salts: int = 16) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import broadcast_if_small, stage
+from terrace.llm.common import BROADCAST_BYTES, broadcast_if_small, measured, stage
 
 WINDOW = 10
 SEGMENT = 64
@@ -42,7 +42,7 @@ def segments(docs: DataFrame, key: str, text: str, window: int) -> DataFrame:
 
 def contamination(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-    item_text: str = "text", window: int = WINDOW,
+    item_text: str = "text", window: int = WINDOW, limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per distinct document key: n_words, n_hit, n_items, items_sha256, contaminated.
 
@@ -54,7 +54,7 @@ def contamination(
     listed = stage(windows(items, item_key, item_text, window), "items")
     contents = listed.select("words").distinct().withColumn("window", F.xxhash64("words"))
     tokens = contents.select(F.explode("words").alias("token")).distinct()
-    tokens = broadcast_if_small(tokens, tokens.count())
+    tokens = broadcast_if_small(tokens, measured(tokens), limit)
 
     # Rarity over the whole corpus, of the words that items use.
     seen = docs.select(F.explode(words(F.col("text"))).alias("token")).join(tokens, "token").groupBy("token").agg(F.count("*").alias("n"))
@@ -62,12 +62,14 @@ def contamination(
     rarest = ranked.groupBy("words").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "offset")).alias("least"))
     # A window with a word that no document has occurs nowhere.
     prefixes = stage(rarest.where("least.n > 0").select(F.col("least.token").alias("token"), F.col("least.offset").alias("offset"), F.size("words").alias("length"), F.col("words").alias("wanted")), "prefixes")
-    n = prefixes.count()
-    prefixes = broadcast_if_small(prefixes, n)
+    size = measured(prefixes)
+    prefixes = broadcast_if_small(prefixes, size, limit)
 
     cut = segments(docs, "id", "text", window)
-    spread = cut.select("id", "start", "words", F.posexplode("words").alias("at", "token"))
+    carried = ["words"] if size <= limit else []  # slices are not shuffled once per word: past the limit they are joined back
+    spread = cut.select("id", "start", *carried, F.posexplode("words").alias("at", "token"))
     joined = spread.join(prefixes, "token").withColumn("from", F.col("at") - F.col("offset"))
+    joined = joined if carried else joined.join(cut, ["id", "start"])
     fits = (F.col("from") >= 0) & (F.col("from") + F.col("length") <= F.size("words"))
     found = joined.where(fits).where(F.slice("words", F.col("from") + 1, F.col("length")) == F.col("wanted"))
     found = stage(found.select("id", (F.col("start") + F.col("from")).alias("from"), "length", "wanted"), "found")

@@ -217,7 +217,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, key: str = "vec
     asked = usable(queries, key, vector).groupBy("id", "v").agg(F.size("v").alias("dims"))
     blocks = max(-(-asked.count() // BLOCK), 1)
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    shards = broadcast_if_small(shards, -(-count // shard))
+    shards = broadcast_if_small(shards, 64 * -(-count // shard))
     sent = asked.join(shards, F.col("dims") == F.col("to_dims"))
     copies = stored.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])

@@ -136,11 +136,12 @@ def test_risk_stays_non_negative_and_ranks():
     assert model.scores(good).mean() > 0.6 > 0.3 > model.scores(bad).mean()
 
 
-def test_contamination_of_odd_texts(spark):
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_contamination_of_odd_texts(spark, limit):
     ten = "one two three four five six seven eight nine ten"
     items = frame(spark, [(1, ten + " eleven"), (2, ten), (3, "short item"), (4, ""), (5, None), (2, ten)], "item_id long, text string")
     rows = [*ODD, (10, f"x {ten.upper()}, eleven! {ten}"), (11, "A short-item"), (12, "short"), (13, f"{ten[:-3]} zehn"), (13, f"{ten[:-3]} zehn"), (14, ten), (14, "short item")]
-    found = {r.doc_id: r for r in decontaminate.contamination(frame(spark, [(*r, 0) for r in rows], "doc_id long, text string, n_hit int"), items).collect()}
+    found = {r.doc_id: r for r in decontaminate.contamination(frame(spark, [(*r, 0) for r in rows], "doc_id long, text string, n_hit int"), items, limit=limit).collect()}
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     assert (found[10].n_words, found[10].n_hit, found[10].n_items, found[10].items_sha256) == (22, 21, 2, sha("1,2"))
     assert (found[11].n_hit, found[11].items_sha256, found[11].contaminated) == (2, sha("3"), True)

@@ -89,6 +89,27 @@ def isolation_outliers(spark, sf):
     return forest.describe_outliers(outliers, "director")
 
 
+def _far_customers(spark, sf):
+    """Two measures per customer: small for most, far out for every fiftieth."""
+    key, far = F.col("c_custkey"), F.col("c_custkey") % 50 == 0
+    step = (key / 50).cast("long") % 10
+    return table(spark, sf, "customer").select(
+        "c_custkey", F.when(far, 500 + step * 50).otherwise(key % 7).alias("x"), F.when(far, -700 - step * 40).otherwise(key % 11).alias("y")
+    )
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 50 = 0")
+def planted_outliers(spark, sf):
+    return forest.isolation_outliers(_far_customers(spark, sf), "c_custkey", ["x", "y"], contamination=0.02).select("c_custkey")
+
+
+@query("SELECT CAST(c_custkey % 3 + 1 AS INTEGER) AS cluster, c_custkey AS member FROM customer")
+def planted_clusters(spark, sf):
+    key = F.col("c_custkey")
+    points = table(spark, sf, "customer").select("c_custkey", (key % 3 * 100 + key % 5).alias("x"), (key % 3 * 80 + key % 7).alias("y"))
+    return clusters.kmeans_members(points, "c_custkey", ["x", "y"])
+
+
 @query()
 def director_clusters(spark, sf):
     return clusters.kmeans_members(customer_profile(spark, sf), "director", FEATURES[:3])

@@ -17,11 +17,12 @@ MIN_ROWS = 4
 
 
 def kmeans_members(
-    df: DataFrame, name: str, features: Sequence[str], k: int = 3, seed: int = 42, starts: int = 10
+    df: DataFrame, name: str, features: Sequence[str], k: int = 3, seed: int = 42, starts: int = 3
 ) -> DataFrame:
     """M5: (cluster, member) rows from the best of ``starts`` k-means fits on standardised features.
 
-    Rows without all features are left out. Clusters are numbered by their
+    Rows without all features are left out. Three starts do, as each begins from parallel k-means++ centres rather than from
+    random rows; two fits run at a time, so that they do not share the cluster between too many passes. Clusters are numbered by their
     centre on the first feature, so labels do not depend on the start.
     """
     full = df.select(name, *(F.col(c).cast("double").alias(c) for c in features)).dropna(subset=list(features))
@@ -32,7 +33,7 @@ def kmeans_members(
         if n < MIN_ROWS:
             raise ValueError(f"k-means needs at least {MIN_ROWS} complete rows, got {n}")
         fits = [KMeans(k=min(k, n), seed=seed + i, featuresCol="_v", predictionCol="_label") for i in range(starts)]
-        models = run_together([partial(fit.fit, points) for fit in fits], width=starts)
+        models = run_together([partial(fit.fit, points) for fit in fits], width=2)
         best = min(models, key=lambda m: m.summary.trainingCost)
         numbered = sorted(range(len(best.clusterCenters())), key=lambda i: tuple(best.clusterCenters()[i]))
         order = F.array(*(F.lit(numbered.index(i) + 1) for i in range(len(numbered))))

@@ -10,7 +10,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from suite import lake
-from suite.lake import over_fact, over_silver, table
+from suite.checks import JUDGED, RULES
+from suite.lake import over_fact, over_raw, over_silver, table
 from suite.registry import query
 from terrace.operators import scd
 from terrace.operators.tables import labelled_union
@@ -300,6 +301,31 @@ def next_versions(spark, sf):
     return scd.next_versions(feed, _history(spark, sf, 2), KEYS)
 
 
+@cache
+def _gated_run(app: str, sf: str) -> incremental.Layout:
+    """One full run whose rules keep bad rows out of silver."""
+    spark = SparkSession.active()
+    root = f"{workspace(spark)}/gated-{uuid.uuid4().hex}"
+    lake.bronze(spark, sf)
+    layout = incremental.Layout([lake.bronze_path(spark, sf)], root)
+    incremental.run_pipeline(spark, layout, batch_id="b1", run_id="r1", as_of=T1.date(), now=T1, full=True, rules=RULES)
+    return layout
+
+
+@query(over_raw(JUDGED + "SELECT show_id, title, array_to_string(reasons, ', ') AS reason_for_failure, 'b1' AS batch_id FROM judged WHERE len(reasons) > 0"))
+def quarantined_records(spark, sf):
+    """What a gated run put into quarantine, read back."""
+    layout = _gated_run(spark.sparkContext.applicationId, sf)
+    return spark.read.parquet(f"{layout.rejects}/rejected_batch_b1").select("show_id", "title", "reason_for_failure", "batch_id")
+
+
+@query(over_raw(JUDGED + "SELECT show_id FROM judged GROUP BY show_id HAVING max(len(reasons)) = 0"))
+def gated_titles(spark, sf):
+    """The titles that a gated run let into silver."""
+    layout = _gated_run(spark.sparkContext.applicationId, sf)
+    return spark.read.parquet(layout.silver("silver_titles_scd2")).select("show_id")
+
+
 @query(over_silver("SELECT show_id, type, title, date_added, release_year, rating, duration, 1 AS version_number, true AS is_current FROM silver_titles"))
 def streamed_history(spark, sf):
     """The bronze files as a stream, merged into silver until none is left."""

@@ -48,8 +48,8 @@ class Grams:
         doc = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
         letter = _letters()[codes]
         keep = letter.copy()
+        keep[1:] |= letter[:-1] | (doc[1:] != doc[:-1])  # one boundary per run, and one where a text begins
         keep[0:1] = True
-        keep[1:] |= letter[:-1]
         codes, doc = np.where(letter, codes, 0)[keep], doc[keep]
         symbols, at = np.unique(codes, return_inverse=True)
         whole = (doc[2:] == doc[:-2]) if len(doc) > 2 else np.zeros(0, bool)

@@ -320,7 +320,8 @@ def run_pipeline(
         return elapsed
 
     try:
-        result = _load(spark, layout, steps, batch_id, run_id, as_of, now, full, rules, gate, compare, order)
+        with sinks.freeing(spark):
+            result = _load(spark, layout, steps, batch_id, run_id, as_of, now, full, rules, gate, compare, order)
     except Exception as err:
         close("FAILED", error_details=str(err))
         raise

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -109,7 +111,7 @@ def run_together(jobs: Iterable[Callable[[], object]], width: int = 4) -> list:
     """Run independent Spark actions side by side, so one job's last tasks do not idle the cluster."""
     in_session = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(width) as pool:
-        return [f.result() for f in [pool.submit(in_session(job)) for job in jobs]]
+        return [f.result() for f in [pool.submit(copy_context().run, in_session(job)) for job in jobs]]
 
 
 def write_bronze(df: DataFrame, path: str, load_type: str) -> None:
@@ -118,10 +120,28 @@ def write_bronze(df: DataFrame, path: str, load_type: str) -> None:
     df.write.mode(mode).partitionBy("ingestion_date").parquet(path)
 
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when it ends; nothing may read it afterwards."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in paths:
+            discard(spark, path)
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives executor loss."""
     spark = df.sparkSession
     path = f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    if (paths := _staged.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -66,6 +66,13 @@ def test_full_then_delta_then_nothing(spark, layout, tmp_path):
     assert {r.dataset_name: r.record_count for r in sizes.collect()} == {"silver_titles_scd2": 4, "fact_content": 4}
 
 
+def test_a_run_leaves_no_scratch(spark, layout, monkeypatch, tmp_path):
+    monkeypatch.setattr(sinks, "workspace", lambda spark: str(tmp_path / "shared"))
+    _run(spark, layout, 1)
+    assert list((tmp_path / "shared").iterdir()) == []
+    assert spark.read.parquet(layout.silver("silver_titles_scd2")).count() == 2
+
+
 def test_rejected_rows_are_gated_and_kept(spark, layout):
     rules = {"value_sets": {"type": ["Movie", "TV Show"]}, "completeness_checks": ["country"], "max_values": {"release_year": 2020}}
     gated = _run(spark, layout, 1, rules=rules)

@@ -78,8 +78,11 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
     """Minimise the non-negative risk by full-batch Adam over one-hot quantile bins."""
     everything = np.vstack([positive, unlabelled])
     width = everything.shape[1]
-    edges = np.quantile(everything, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    place = np.stack([np.searchsorted(edges[j], everything[:, j]) + j * BINS for j in range(width)], axis=1).astype(np.int32)
+    edges = np.stack([np.quantile(everything[:, j], np.linspace(0, 1, BINS + 1)[1:-1]) for j in range(width)])
+    place = np.empty(everything.shape, np.int32)
+    for j in range(width):
+        place[:, j] = np.searchsorted(edges[j], everything[:, j]) + j * BINS
+    del everything
     n, slots = len(positive), width * BINS
     w, bias = np.zeros(slots), float(np.log(prior / (1 - prior)))
     first, second, fb, sb = np.zeros(slots), np.zeros(slots), 0.0, 0.0

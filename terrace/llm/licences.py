@@ -1,14 +1,15 @@
 """License scan: sparse TF-IDF cosine of notices and licence files to templates, then inheritance along directories.
 
 Words are hashed to a fixed number of buckets, so that document frequencies, counted over every line of the corpus, have a
-bounded size. Every line of a text is compared as a notice, and the whole text as a licence file. A file without a notice of
-its own gets the licence of the nearest directory above it that holds a licence file, found by joins on paths.
+bounded size. Every line of a text is compared with the notices; the whole text is compared with the notices and with whole
+licence texts, as a licence file. A file without a notice of its own gets the licence of the nearest directory above it that holds a licence file, found by joins on paths.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
@@ -61,6 +62,11 @@ TEMPLATES = {
 }
 
 
+def licence_texts() -> dict[str, list[str]]:
+    """Whole licence texts by name. Those beside the licences of ``TEMPLATES`` keep a relative from passing for one of them."""
+    return {p.stem: [p.read_text("utf-8")] for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+
+
 class Units:
     """Term counts of texts by unit: each non-empty line, and the whole text where it has more than one."""
 
@@ -125,36 +131,41 @@ def _normal(line: np.ndarray, bucket: np.ndarray, count: np.ndarray, idf: np.nda
     return value / np.maximum(length[line], 1e-300)
 
 
-def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, text: str = "text", least: float = LEAST) -> DataFrame:
+def scan(
+    docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, text: str = "text", least: float = LEAST, texts: dict[str, list[str]] | None = None
+) -> DataFrame:
     """All columns of ``docs`` and ``_notice``, ``_notice_score`` (best line), ``_file``, ``_file_score`` (whole text).
 
-    NULL, empty and wordless texts have no licence and score 0. Ties go to the smaller licence name.
+    Lines are compared with ``templates``, whole texts with ``templates`` and ``texts`` (by default ``licence_texts()``). NULL, empty and wordless texts have no licence and score 0. Ties go to the smaller licence name.
     """
     seen, lines = frequencies(docs, text)
-    shipped = docs.sparkSession.sparkContext.broadcast((sorted(templates), templates, weights(seen, lines)))
+    texts = licence_texts() if texts is None else texts
+    shipped = docs.sparkSession.sparkContext.broadcast((sorted({*templates, *texts}), templates, texts, weights(seen, lines)))
 
     def start():
-        names, templates, idf = shipped.value
+        names, notices, texts, idf = shipped.value
         units = Units()
-        owner = np.array([i for i, n in enumerate(names) for _ in templates[n]])
-        patterns = [" ".join(t.split()) for n in names for t in templates[n]]
+        patterns = [(i, " ".join(t.split())) for known in (notices, texts) for i, n in enumerate(names) for t in known.get(n, [])]
+        n_notices = sum(map(len, notices.values()))
+        owner, patterns = [i for i, _ in patterns], [t for _, t in patterns]
         row, column, count, _ = units.lines(patterns)
         matrix = np.zeros((len(patterns), BUCKETS), np.float32)
         matrix[row, column] = _normal(row, column, count, idf, len(patterns))
-        used = matrix.any(axis=0)
 
-        def best(line, bucket, count, n) -> tuple[np.ndarray, np.ndarray]:
+        def best(line, bucket, count, n, matrix, used) -> tuple[np.ndarray, np.ndarray]:
             value = _normal(line, bucket, count, idf, n)
             inside = used[bucket]
             line, bucket, value = line[inside], bucket[inside], value[inside]
             score = np.zeros((len(names), n))
-            for k in range(len(patterns)):
+            for k in range(len(matrix)):
                 np.maximum(score[owner[k]], np.bincount(line, value * matrix[k, bucket], n), out=score[owner[k]])
             return score.argmax(axis=0), score.max(axis=0, initial=0)
 
+        by_line, by_text = ((m, m.any(axis=0)) for m in (matrix[:n_notices], matrix))
+
         def compute(texts: list) -> list[pa.Array]:
             line, bucket, count, of = units.lines(texts)
-            which, score = best(line, bucket, count, len(of))
+            which, score = best(line, bucket, count, len(of), *by_line)
             notice, notice_score = np.zeros(len(texts), int), np.zeros(len(texts))
             if len(of):
                 order = np.lexsort((which, -score, of))
@@ -162,7 +173,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, text: str
                 notice[texts_with], notice_score[texts_with] = which[order][first], score[order][first]
             pairs, at = np.unique(of[line] * BUCKETS + bucket, return_inverse=True)
             whole, whole_bucket = np.divmod(pairs, BUCKETS)
-            file, file_score = best(whole, whole_bucket, np.bincount(at, count, len(pairs)), len(texts))
+            file, file_score = best(whole, whole_bucket, np.bincount(at, count, len(pairs)), len(texts), *by_text)
             name = lambda which, score: pa.array([names[w] if s >= least else None for w, s in zip(which, score, strict=True)], pa.string())
             return [name(notice, notice_score), pa.array(np.minimum(notice_score, 1.0)), name(file, file_score), pa.array(np.minimum(file_score, 1.0))]
 

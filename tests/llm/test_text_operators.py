@@ -175,6 +175,26 @@ def test_notices_and_inheritance(spark):
     assert licences.inherit(licences.scan(files.limit(0)), "doc_id").count() == 0
 
 
+def test_whole_licence_files_cover_their_directories(spark):
+    whole = {n: licences.licence_texts()[n][0] for n in ("Apache-2.0", "GPL-3.0", "BSD-3-Clause", "MPL-2.0", "MIT", "GPL-2.0", "LGPL-2.1", "CC-BY-4.0", "CC-BY-NC-4.0")}
+    rows = []
+    for i, (name, text) in enumerate(sorted(whole.items())):
+        words = text.split()  # as other projects hold it: wrapped anew, under a copyright line, without the last words
+        words = words[: len(words) * 9 // 10]
+        lines = [" ".join(words[k : k + 9]) for k in range(0, len(words), 9)]
+        rows += [(10 * i, f"{name}/LICENSE", "\n".join(["Copyright (c) 2019 Someone Else", *lines])), (10 * i + 1, f"{name}/src/deep/x.py", "nothing here")]
+    prose = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").limit(300).collect()]
+    rows += [(1000 + i, f"prose/{i}", t) for i, t in enumerate(prose)]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    scanned = licences.scan(files)
+    found = {r.path: r for r in licences.inherit(scanned, "doc_id").collect()}
+    for name in whole:
+        r = found[f"{name}/src/deep/x.py"]
+        assert (r.license, r.origin, r.directory) == (name, "directory", name)
+    as_files = [{r.doc_id: r["_file"] for r in x.where("doc_id >= 1000").collect()} for x in (scanned, licences.scan(files, texts={}))]
+    assert as_files[0] == as_files[1] and len(as_files[0]) == len(prose) > 100  # prose does not become a licence file
+
+
 def test_every_notice_of_the_corpus_is_found(spark):
     wanted = {"MIT": "MIT License", "Apache-2.0": "Apache License", "GPL-3.0": "GNU General Public", "CC-BY-NC-4.0": "CC BY-NC"}
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}

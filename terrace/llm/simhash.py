@@ -6,7 +6,8 @@ words within ``r`` flipped bits; fingerprints that emit the same word are near e
 The emitted words are shuffled by some of their bits. Flips of all other bits leave that key alone, so the words of one
 fingerprint that go to the same task travel as one row and are spelt out there, in slices of bounded size. Fingerprints that
 share a word are linked to the smallest of them; any two of them are within ``2r`` bits by the triangle inequality, which is
-verified again on the pair. Each task passes on a spanning forest of its links, so a group of n copies gives at most n - 1.
+verified again on the pair. A key with more than ``PER_TASK`` words is dealt anew by further bits of its words, until no key
+has more or all bits are used, when a key is one word, which at most ``C(64, <= r)`` distinct fingerprints share. Each task passes on a spanning forest of its links, so a group of n copies gives at most n - 1.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ BITS = 64
 RADIUS = 2
 SLICE = 1 << 21  # words spelt out at a time
 PER_KEY = 2048  # fingerprints per shuffle key aimed at
+PER_TASK = 1 << 23  # words of a shuffle key from which it is dealt by further bits; twice those of PER_KEY fingerprints
+FURTHER = 8  # bits by which it is dealt then
 
 
 def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
@@ -69,23 +72,76 @@ def flips(radius: int, among: list[int]) -> np.ndarray:
     return np.array([sum(1 << b for b in s) for k in range(radius + 1) for s in combinations(among, k)], np.uint64)
 
 
-def links(prints: DataFrame, count: int, radius: int = RADIUS, per_key: int = PER_KEY) -> DataFrame:
+def links(prints: DataFrame, count: int, radius: int = RADIUS, per_key: int = PER_KEY, per_task: int | None = None) -> DataFrame:
     """``a`` < ``b`` (as signed longs): a spanning forest of the links between the distinct fingerprints ``fp``."""
+    per_task = per_task or PER_TASK
     split = max(min(int(np.ceil(np.log2(max(count, 1) / per_key))), 32), 4)
     rng = np.random.Generator(np.random.PCG64(7))
     keyed = sorted(rng.choice(BITS, split, replace=False).tolist())
-    free = [b for b in range(BITS) if b not in keyed]
-    key_mask = np.uint64(sum(1 << b for b in keyed))
-    key_flips = flips(radius, keyed)
+    later = rng.permutation([b for b in range(BITS) if b not in keyed]).tolist()
+    dealt, found = _dealt(prints.select("fp"), [], keyed, radius), None
+    while True:
+        free = [b for b in range(BITS) if b not in keyed]
+        hot = _heavy(dealt, keyed, radius, per_task) if free else None
+        if hot is not None and hot.isEmpty():
+            hot = None
+        cold = dealt if hot is None else dealt.join(hot, "word_key", "left_anti")
+        own = cold.groupBy("word_key").applyInArrow(_collide(keyed, radius), "a bigint, b bigint")
+        found = own if found is None else found.union(own)
+        if hot is None:
+            return found
+        before, keyed, later = keyed, sorted(keyed + later[:FURTHER]), later[FURTHER:]
+        dealt = stage(_dealt(dealt.join(hot, "word_key", "left_semi"), before, keyed, radius), "dealt")
+
+
+def _mask(bits: list[int]) -> np.uint64:
+    return np.uint64(sum(1 << b for b in bits))
+
+
+def _dealt(rows: DataFrame, before: list[int], keyed: list[int], radius: int) -> DataFrame:
+    """``word_key`` (the bits ``keyed`` of words) and ``fp``: all keys that words of each fingerprint have.
+
+    Where ``rows`` were dealt by the bits ``before``, their keys stay and only the other bits are flipped.
+    """
+    old, key_mask = _mask(before), _mask(keyed)
+    added = [b for b in keyed if b not in before]
+    masks = [flips(radius - u, added) for u in range(radius + 1)]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
-                own = np.array(batch.column(0).slice(start, 4096)).view(np.uint64)
-                keys = ((own & key_mask)[:, None] ^ key_flips[None, :]).ravel()
-                fps = np.repeat(own, len(key_flips))
-                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(fps.view(np.int64))], names=["word_key", "fp"])
+                part = batch.slice(start, 4096)
+                own = np.array(part.column("fp")).view(np.uint64)
+                flipped = (own & old) ^ np.array(part.column("word_key")).view(np.uint64) if before else np.zeros(len(own), np.uint64)
+                used = np.bitwise_count(flipped)
+                for u in np.unique(used).tolist():
+                    at = used == u
+                    keys = (((own ^ flipped)[at] & key_mask)[:, None] ^ masks[u][None, :]).ravel()
+                    fps = np.repeat(own[at], len(masks[u]))
+                    yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(fps.view(np.int64))], names=["word_key", "fp"])
+
+    return rows.mapInArrow(emit, "word_key bigint, fp bigint")
+
+
+def _heavy(dealt: DataFrame, keyed: list[int], radius: int, most: int) -> DataFrame:
+    """``word_key`` of the keys with more than ``most`` words; counts are added up by batch before they are shuffled."""
+    key_mask = _mask(keyed)
+    words = np.array([len(flips(radius - u, [b for b in range(BITS) if b not in keyed])) for u in range(radius + 1)])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, fp = (np.array(batch.column(c)).view(np.uint64) for c in ("word_key", "fp"))
+            keys, at = np.unique(key, return_inverse=True)
+            n = np.bincount(at, words[np.bitwise_count((fp & key_mask) ^ key)], len(keys)).astype(np.int64)
+            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n)], names=["word_key", "n"])
+
+    counted = dealt.mapInArrow(count, "word_key bigint, n bigint").groupBy("word_key").agg(F.sum("n").alias("n"))
+    return stage(counted.where(F.col("n") > most).select("word_key"), "heavy")
+
 
+def _collide(keyed: list[int], radius: int):
+    """Of all rows of a key: a spanning forest of the links between fingerprints that share a word with that key."""
+    free, key_mask = [b for b in range(BITS) if b not in keyed], _mask(keyed)
     nothing = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
 
     def collide(key: tuple, rows: pa.Table) -> pa.Table:
@@ -99,7 +155,7 @@ def links(prints: DataFrame, count: int, radius: int = RADIUS, per_key: int = PE
         # Words are spelt out for one value of some free bits after the other: equal words always meet in one slice.
         total = sum(int((used == u).sum()) * len(flips(radius - u, free)) for u in range(radius + 1))
         fine = max(int(np.ceil(np.log2(max(total / SLICE, 1)))), 0)
-        fine_bits = free[: min(fine, len(free) - 1)]
+        fine_bits = free[: max(min(fine, len(free) - 1), 0)]
         fine_mask = np.uint64(sum(1 << b for b in fine_bits))
         masks = {u: flips(radius - u, free) for u in range(radius + 1)}
         for at in range(1 << len(fine_bits)):
@@ -157,8 +213,7 @@ def links(prints: DataFrame, count: int, radius: int = RADIUS, per_key: int = PE
         ends = np.sort(np.stack([fps[parent[child]].view(np.int64), fps[child].view(np.int64)]), axis=0)
         return pa.table({"a": pa.array(ends[0]), "b": pa.array(ends[1])})
 
-    emitted = prints.select("fp").mapInArrow(emit, "word_key bigint, fp bigint")
-    return emitted.groupBy("word_key").applyInArrow(collide, "a bigint, b bigint")
+    return collide
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, radius: int = RADIUS) -> DataFrame:

@@ -73,6 +73,49 @@ def test_links_lose_no_near_pair(spark, monkeypatch, per_key):
     assert {r.node: r.root for r in found} == expected
 
 
+def _bounded(monkeypatch, most):
+    """Let every shuffle key fail that has more than ``most`` words."""
+    collide_of = simhash._collide
+
+    def bounded(keyed, radius):
+        inner, mask = collide_of(keyed, radius), sum(1 << b for b in keyed)
+        words = [len(simhash.flips(radius - u, [b for b in range(64) if b not in keyed])) for u in range(radius + 1)]
+
+        def collide(key, rows):
+            total = sum(words[((fp ^ key[0].as_py()) & mask).bit_count()] for fp in rows.column("fp").to_pylist())
+            assert total <= most, total
+            return inner(key, rows)
+
+        return collide
+
+    monkeypatch.setattr(simhash, "_collide", bounded)
+
+
+@pytest.mark.parametrize("per_task", [20_000, 2081])
+def test_heavy_keys_are_dealt_without_losing_a_pair(spark, monkeypatch, per_task):
+    _bounded(monkeypatch, per_task)
+    rng = random.Random(6)
+    centre, prints = rng.getrandbits(64) >> 1, set()
+    while len(prints) < 250:  # the centre is left out: near prints must find each other
+        prints.add(centre ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(2, 8))))
+    prints |= {rng.getrandbits(63) for _ in range(50)}
+    found = components(simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"), len(prints), per_task=per_task)).collect()
+    near = [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 4]
+    assert {r.node: r.root for r in found} == classes(near, {x for e in near for x in e})
+
+
+def test_a_hundred_thousand_prints_around_one_centre(spark, monkeypatch):
+    _bounded(monkeypatch, simhash.PER_TASK)
+    rng = random.Random(8)
+    centre = rng.getrandbits(63)
+    prints = {centre ^ int(m) for m in simhash.flips(3, list(range(63)))}  # all within 3 bits, and many at 4: all are near the centre
+    while len(prints) < 100_000:
+        prints.add(centre ^ sum(1 << b for b in rng.sample(range(63), 4)))
+    frame = spark.createDataFrame([(p,) for p in prints], "fp long").repartition(8)
+    found = components(simhash.links(frame, len(prints)))
+    assert tuple(found.selectExpr("count(*)", "count(DISTINCT node)", "count(DISTINCT root)", "min(root)").first()) == (100_000, 100_000, 1, min(prints))
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     rows = [*ODD] + [(r.doc_id + 100, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     prints = [plain_fingerprint(t, 4) for _, t in rows]

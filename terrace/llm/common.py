@@ -40,6 +40,24 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def finite(vector: Column) -> Column:
+    """Whether an array<double> is there and holds neither NULL nor NaN nor infinity."""
+    fine = F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    return vector.isNotNull() & F.coalesce(fine, F.lit(False))
+
+
+def floored(vector: Column, scale: int = 256) -> Column:
+    """array<bigint> of floor(scale * component); beyond the range of long its nearest end."""
+    return F.transform(vector, lambda c: F.floor(c * F.lit(float(scale))))
+
+
+def integer_vectors(vectors: DataFrame, key: str, vector: str, scale: int = 256) -> DataFrame:
+    """``id`` and ``x`` (floored vector), one row per id, of rows with an id and a finite vector; of several the greatest."""
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    kept = rows.where(F.col("id").isNotNull() & finite(F.col("v"))).select("id", floored(F.col("v"), scale).alias("x"))
+    return kept.groupBy("id").agg(F.max("x").alias("x"))
+
+
 BROADCAST_BYTES = 64 << 20
 
 

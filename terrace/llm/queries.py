@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, decontaminate, langid, licences, neighbours, quality, simhash, suffixes, urls, warc
+from terrace.llm import bpe, decontaminate, langid, licences, neighbours, quality, simhash, suffixes, urls, vafile, warc
 from terrace.llm.common import fold, stage, table
 
 QUERIES: dict = {}
@@ -123,6 +123,20 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors.where(F.col("vec_id") % 20 == 0), vectors)
 
 
+@query(
+    """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+)
+def op11_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vafile.search(vectors.where(F.col("vec_id") % 50 == 0), vectors)
+
+
 @query()
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, decontaminate, langid, licences, neighbours, quality, simhash, suffixes, urls, vafile, warc
+from terrace.llm import bpe, decontaminate, langid, licences, neighbours, quality, simhash, spelling, suffixes, urls, vafile, warc, whitening
 from terrace.llm.common import fold, stage, table
 
 QUERIES: dict = {}
@@ -137,6 +137,16 @@ def op11_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.search(vectors.where(F.col("vec_id") % 50 == 0), vectors)
 
 
+@query()
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

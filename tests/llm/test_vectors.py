@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from terrace.llm import vafile
+from terrace.llm import vafile, whitening
 from terrace.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -94,3 +94,84 @@ def test_query_equals_its_sql(spark, name):
     found = QUERIES[name](spark, SF)
     want = con.execute(f"SELECT {', '.join(found.columns)} FROM ({ORACLES[name]})").fetchall()
     assert sorted(map(tuple, found.collect())) == sorted(want) and want
+
+
+def plain_whitening(rows, count=4):
+    """By the definition: covariance of the distinct vectors and its eigenvectors."""
+    x = [(r[0], [math.floor(256 * float(np.float32(c))) for c in r[1]]) for r in rows if r[1] is not None and all(c is not None and math.isfinite(c) for c in r[1])]
+    widths = [len(v) for _, v in x]
+    width = max(set(widths), key=lambda w: (widths.count(w), w))
+    x = [(i, v) for i, v in x if len(v) == width]
+    fit = sorted({tuple(v) for _, v in x})
+    n, sums = len(fit), [sum(c) for c in zip(*fit, strict=True)]
+    centred = np.array([[(n * c - s) / n for c, s in zip(v, sums, strict=True)] for v in fit])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1][:count], vectors[:, ::-1][:, :count]
+    out = []
+    for i, v in x:
+        own = np.array([(n * c - s) / n for c, s in zip(v, sums, strict=True)])
+        for c in range(count):
+            out.append((i, c + 1, n, sum((n * a - s) ** 2 for a, s in zip(v, sums, strict=True)), abs(own @ vectors[:, c]) / math.sqrt(values[c]), values[c] / np.trace(centred.T @ centred / n)))
+    return out
+
+
+def whitened_equals(found, want, approx=1e-8):
+    key = lambda r: (str(r[0]), r[1], r[3], r[4])
+    found = sorted([(r.vec_id, r.component, r.n, r.deviation, abs(r.whitened), r.explained) for r in found], key=key)
+    want = sorted(want, key=key)
+    assert [r[:4] for r in found] == [r[:4] for r in want]
+    assert [x for r in found for x in r[4:]] == pytest.approx([x for r in want for x in r[4:]], rel=approx, abs=approx)
+
+
+def test_whitening_equals_eigenvectors(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(1000, s) for s in (5, 4, 3, 2, 1, 0.5)]) for i in range(300)]
+    rows += [(None, rows[0][1]), (5, rows[5][1]), (5, rows[5][1]), (7, [0.0] * 6), (400, None), (401, [1.0, None] + [0.0] * 4), (402, [float("nan")] * 6), (403, []), (404, [1.0])]
+    rows = [(*r, 1, "own") for r in rows]
+    found = whitening.whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    whitened_equals(found, plain_whitening(rows))
+    assert max(r.identity_error for r in found) < 1e-9 and len({r.identity_error for r in found}) == 1
+
+
+def test_repeated_deviations_and_low_rank(spark):
+    """Equal variances break the recurrence off at once; a dimension without variance gives no component."""
+    rows = [(2 * d + s, [float((1 - 2 * s) * (d == e)) for e in range(3)] + [7.0], 1, "") for d in range(3) for s in range(2)]
+    found = whitening.whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.component for r in found} == {1, 2, 3} and {round(r.explained, 12) for r in found} == {round(1 / 3, 12)}
+    assert max(r.identity_error for r in found) < 1e-9 and {r.n for r in found} == {6}
+    for i in range(6):
+        assert sum(r.whitened**2 for r in found if r.vec_id == i) == pytest.approx(3.0)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [])], [(1, [2.0]), (2, [2.0])]])
+def test_whitening_without_variance(spark, rows):
+    assert whitening.whiten(spark.createDataFrame([(*r, 1, "") for r in rows], SCHEMA)).count() == 0
+
+
+def test_deviations_are_exact_or_null():
+    n, sums = 3, [1 << 40, -7]
+    points = np.array([[1 << 20, 5], [1 << 36, -1], [(1 << 61), 0]])
+    want = [sum((n * x - s) ** 2 for x, s in zip(r, sums, strict=True)) for r in points.tolist()]
+    assert whitening.deviations(points, n, sums) == [w if w < 1 << 63 else None for w in want]
+    assert want[0] >= 1 << 63 and whitening.deviations(points, n, [1 << 21, 1])[0] == (3 * (1 << 20) - (1 << 21)) ** 2 + 196
+
+
+def test_wide_vectors_converge_early(spark, monkeypatch):
+    """Beyond the dimensions that are exhausted the recurrence ends when its leading values have converged."""
+    monkeypatch.setattr(whitening, "EXHAUST", 8)
+    monkeypatch.setattr(whitening, "DIRECT", 1)
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 8 / (d + 1)) for d in range(24)], 1, "") for i in range(200)]
+    passes = []
+    total = whitening.Rows.total
+    monkeypatch.setattr(whitening.Rows, "total", lambda self, part: passes.append(1) or total(self, part))
+    found = whitening.whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    whitened_equals(found, plain_whitening(rows), 1e-7)
+    assert len(passes) < 2 * 24
+
+
+def test_registered_whitening(spark):
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    found = QUERIES["op13_whitening"](spark, SF).collect()
+    whitened_equals(found, plain_whitening(rows))
+    assert found[0].identity_error < 1e-9

@@ -1,11 +1,13 @@
 """Slowly changing dimensions.
 
 Both merges take ``source`` with any number of rows per key (see
-``order``) and return the complete new table as one lazy frame. The target is
-left-joined to the incoming rows, so a small batch is broadcast by size and
-the target is not shuffled; a large one sort-merges with skew splitting on
-the target side. Each target row becomes one output row, or two when a
-version is closed and its successor opened.
+``order``) and return the complete new table as one lazy frame. Target and
+incoming rows meet in one full outer join, each read once, and an action says
+what becomes of every pair; adaptive execution splits hot keys. Where the
+incoming rows are estimated to be few Spark broadcasts them instead and the
+target is not shuffled; the new keys are then found by a second look at the target's
+key columns alone. Keys are compared null-safely: a NULL key is a key like
+any other, so replaying a batch changes nothing.
 """
 
 from __future__ import annotations
@@ -47,46 +49,55 @@ def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[Column]
     return latest_by_key(source, keys, order + tie)
 
 
-def _new_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    known = target.select(*keys).join(incoming.select(*keys), list(keys), "left_semi").distinct()
-    return incoming.join(known, list(keys), "left_anti")
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark estimates a frame below its broadcast limit."""
+    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def _same_key(keys: Sequence[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
-        cond = cond & (F.col(f"tgt.{k}") == F.col(f"src.{k}"))
+        cond = cond & F.col(f"tgt.{k}").eqNullSafe(F.col(f"src.{k}"))
     return cond
 
 
+def _paired(target: DataFrame, incoming: DataFrame, keys: Sequence[str], small: bool | None) -> DataFrame:
+    """Every target row beside the incoming row of its key, and the incoming rows of new keys: structs ``tgt`` and ``src``."""
+    both = _same_key(keys)
+    old = target.select(F.struct(*target.columns).alias("_tgt"), *keys).alias("tgt")
+    new = incoming.select(F.struct(*incoming.columns).alias("_src"), *keys).alias("src")
+    pair = [F.col("tgt._tgt").alias("tgt"), F.col("src._src").alias("src")]
+    if not (is_small(incoming) if small is None else small):
+        return old.join(new, both, "full").select(*pair)
+    known = target.select(*keys).alias("tgt").join(incoming.select(*keys).alias("src"), both, "left_semi").distinct().alias("tgt")
+    fresh = new.join(known, both, "left_anti").select(F.lit(None).cast(target.schema).alias("tgt"), F.col("src._src").alias("src"))
+    return old.join(new, both, "left").select(*pair).unionByName(fresh)
+
+
 # --- type 1 -------------------------------------------------------------------------------------
 
 
 def scd1_actions(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str], order: Sequence[Column] | None = None
-) -> DataFrame:
+    target: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str], order: Sequence[Column] | None = None,
+    small: bool | None = None,
+) -> DataFrame:
     """The merged table plus ``_action``: inserted, updated, unchanged or untouched.
 
     Changed rows take every incoming column, audit columns too; rows whose
-    compared columns are equal keep the target's audit columns.
+    compared columns are equal keep the target's audit columns. ``small``
+    overrides the measured choice of the join.
     """
     columns = target.columns
-    incoming = one_per_key(source, keys, order).select(*columns).withColumn("_in", F.lit(True))
-    joined = target.alias("tgt").join(incoming.alias("src"), _same_key(keys), "left")
+    paired = _paired(target, one_per_key(source, keys, order).select(*columns), keys, small)
     action = (
-        F.when(F.col("src._in").isNull(), F.lit("untouched"))
+        F.when(F.col("tgt").isNull(), F.lit("inserted"))
+        .when(F.col("src").isNull(), F.lit("untouched"))
         .when(any_changed("tgt", "src", [c for c in compare if c in columns]), F.lit("updated"))
         .otherwise(F.lit("unchanged"))
     )
-    kept = joined.withColumn("_action", action).select(
-        *(
-            F.when(F.col("_action") == "updated", F.col(f"src.{c}")).otherwise(F.col(f"tgt.{c}")).alias(c)
-            for c in columns
-        ),
-        "_action",
-    )
-    inserted = _new_rows(target, incoming, keys).select(*columns, F.lit("inserted").alias("_action"))
-    return kept.unionByName(inserted)
+    merged = F.when(F.col("_action").isin("inserted", "updated"), F.col("src")).otherwise(F.col("tgt"))
+    return paired.withColumn("_action", action).select(merged.alias("_row"), "_action").select("_row.*", "_action")
 
 
 def scd1_merge(
@@ -120,7 +131,7 @@ def scd2_initial(source: DataFrame, keys: Sequence[str], as_of: date, now: datet
 
 
 def _version_rows(base: Sequence[str], as_of: date, now: datetime):
-    """Builders of the rows a target/source match turns into."""
+    """Builders of the rows a pair of target and source turns into."""
     stamp = F.lit(now).cast("timestamp")
 
     def row(action: Column, side: str, **version: Column) -> Column:
@@ -144,18 +155,23 @@ def _version_rows(base: Sequence[str], as_of: date, now: datetime):
         version_number=F.col("tgt.version_number") + 1,
         record_updated_timestamp=stamp,
     )
-    return row, closed, opened
+    first = row(
+        F.lit("inserted"),
+        "src",
+        effective_start_date=F.lit(as_of),
+        effective_end_date=F.lit(HIGH_DATE),
+        is_current=F.lit(True),
+        version_number=F.lit(1),
+        record_created_timestamp=stamp,
+        record_updated_timestamp=stamp,
+    )
+    return row, closed, opened, first
 
 
 def _base_columns(target: DataFrame) -> list[str]:
     return [c for c in target.columns if c not in VERSION_COLUMNS]
 
 
-def _inserted(target: DataFrame, incoming: DataFrame, keys: Sequence[str], as_of: date, now: datetime) -> DataFrame:
-    first = _first_version(_new_rows(target, incoming, keys).drop("_in"), as_of, now)
-    return first.select(*target.columns, F.lit("inserted").alias("_action"))
-
-
 def scd2_actions(
     target: DataFrame,
     source: DataFrame,
@@ -164,24 +180,22 @@ def scd2_actions(
     as_of: date,
     now: datetime,
     order: Sequence[Column] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """The merged history plus ``_action``: history, untouched, unchanged, expired, new_version or inserted.
 
     A changed current row is closed the day before ``as_of`` and followed by
-    version + 1, which carries the creation time over.
+    version + 1, which carries the creation time over. A key that has closed
+    versions only stays closed. ``small`` overrides the measured choice of the join.
     """
     base = _base_columns(target)
-    incoming = one_per_key(source, keys, order).select(*base).withColumn("_in", F.lit(True))
-    row, closed, opened = _version_rows(base, as_of, now)
-    joined = target.alias("tgt").join(incoming.alias("src"), _same_key(keys) & F.col("tgt.is_current"), "left")
-    changed = F.col("src._in").isNotNull() & any_changed("tgt", "src", [c for c in compare if c in base])
-    action = (
-        F.when(~F.col("tgt.is_current"), F.lit("history"))
-        .when(F.col("src._in").isNull(), F.lit("untouched"))
-        .otherwise(F.lit("unchanged"))
-    )
-    merged = joined.select(F.inline(F.when(changed, F.array(closed, opened)).otherwise(F.array(row(action, "tgt")))))
-    return merged.select(*target.columns, "_action").unionByName(_inserted(target, incoming, keys, as_of, now))
+    paired = _paired(target, one_per_key(source, keys, order).select(*base), keys, small)
+    row, closed, opened, first = _version_rows(base, as_of, now)
+    current = F.coalesce(F.col("tgt.is_current"), F.lit(False))
+    changed = current & F.col("src").isNotNull() & any_changed("tgt", "src", [c for c in compare if c in base])
+    action = F.when(~current, F.lit("history")).when(F.col("src").isNull(), F.lit("untouched")).otherwise(F.lit("unchanged"))
+    rows = F.when(F.col("tgt").isNull(), F.array(first)).when(changed, F.array(closed, opened)).otherwise(F.array(row(action, "tgt")))
+    return paired.select(F.inline(rows)).select(*target.columns, "_action")
 
 
 def scd2_changes(
@@ -192,15 +206,11 @@ def scd2_changes(
     as_of: date,
     now: datetime,
     order: Sequence[Column] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Only the rows a merge writes (expired, new_version, inserted), for rewriting touched partitions."""
-    base = _base_columns(target)
-    incoming = one_per_key(source, keys, order).select(*base).withColumn("_in", F.lit(True))
-    _, closed, opened = _version_rows(base, as_of, now)
-    matched = current_view(target).alias("tgt").join(incoming.alias("src"), _same_key(keys))
-    changed = matched.filter(any_changed("tgt", "src", [c for c in compare if c in base]))
-    versions = changed.select(F.inline(F.array(closed, opened))).select(*target.columns, "_action")
-    return versions.unionByName(_inserted(target, incoming, keys, as_of, now))
+    actions = scd2_actions(target, source, keys, compare, as_of, now, order, small)
+    return actions.filter(F.col("_action").isin("expired", "new_version", "inserted"))
 
 
 def has_versions(df: DataFrame) -> bool:

@@ -156,3 +156,41 @@ def test_type2_against_a_plain_model(spark, feeds):
         for i, (v, start, end) in enumerate(versions)
     )
     assert got == want
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_null_key_is_a_key(spark, small):
+    """Replaying a batch with a NULL key changes nothing, in either join."""
+    batch = spark.createDataFrame([(None, "x"), (1, "y")], "k int, v string")
+    target = spark.createDataFrame([(2, "z")], "k int, v string")
+    for _ in range(3):
+        target = scd.scd1_actions(target, batch, ["k"], ["v"], small=small).drop("_action")
+    assert sorted(map(tuple, target.collect()), key=str) == [(1, "y"), (2, "z"), (None, "x")]
+    history = scd.scd2_initial(target, ["k"], AS_OF, NOW)
+    for value, day in (("x", 21), ("w", 22), ("w", 23)):
+        changed = batch.withColumn("v", F.when(F.col("k").isNull(), value).otherwise(F.col("v")))
+        history = scd.scd2_actions(history, changed, ["k"], ["v"], date(2026, 7, day), NOW, small=small).drop("_action")
+    got = sorted((str(r.k), r.v, r.version_number, r.is_current) for r in history.collect())
+    assert got == [("1", "y", 1, True), ("2", "z", 1, True), ("None", "w", 2, True), ("None", "x", 1, False)]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_both_joins_give_the_same_history(type2, small):
+    target, source = type2
+    merged = scd.scd2_actions(target, source, KEYS, COMPARE, AS_OF, NOW, FIRST(), small)
+    assert sorted((r.show_id, r.title, r.version_number, r._action) for r in merged.collect()) == [
+        ("s1", "Initial Title", 1, "expired"), ("s1", "Updated Title", 2, "new_version"),
+        ("s2", "Unchanged Title", 1, "unchanged"), ("s3", "New Title", 1, "inserted"),
+    ]
+
+
+def test_a_merge_reads_target_and_incoming_once(spark, tmp_path):
+    for name in ("target", "source"):
+        spark.range(1000).select(F.col("id").alias("k"), F.lit(name).alias("v")).write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("target", "source"))
+    for merged in (
+        scd.scd1_actions(target, source, ["k"], ["v"], scd.UNIQUE, small=False),
+        scd.scd2_actions(scd.scd2_initial(target, ["k"], AS_OF, NOW, scd.UNIQUE), source, ["k"], ["v"], AS_OF, NOW, scd.UNIQUE, small=False),
+    ):
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 2 and "FullOuter" in plan

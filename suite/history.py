@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from suite import lake
 from suite.checks import JUDGED, RULES
-from suite.lake import over_fact, over_raw, over_silver, table
+from suite.lake import over_clean, over_fact, over_raw, over_silver, table
 from suite.registry import query
 from terrace.operators import scd
 from terrace.operators.tables import labelled_union
-from terrace.plans import incremental
+from terrace.plans import gold, incremental
 from terrace.plans.silver import BRIDGES
 from terrace.session import workspace
 from terrace.streaming import continuous
@@ -240,7 +240,7 @@ FROM silver_titles WHERE rating = '1-URGENT'"""
     )
 )
 def incremental_titles(spark, sf):
-    return spark.read.parquet(_layout(spark, sf).silver("silver_titles_scd2")).select(
+    return _layout(spark, sf).read(spark, "silver_titles_scd2").select(
         "show_id", "title", "rating", "release_year", "version_number", "effective_start_date", "effective_end_date", "is_current"
     )
 
@@ -258,14 +258,14 @@ def incremental_bridges(spark, sf):
     """Re-delivered titles replace their bridge rows, so the bridges are as after one clean load."""
     layout = _layout(spark, sf)
     return labelled_union(
-        {n: spark.read.parquet(layout.silver(n)).select("show_id", F.col(out).alias("value")) for n, (_, out, _) in BRIDGES.items()}, "bridge"
+        {n: layout.read(spark, n).select("show_id", F.col(out).alias("value")) for n, (_, out, _) in BRIDGES.items()}, "bridge"
     )
 
 
 @query(over_fact("SELECT release_year, count(*) AS facts, count(DISTINCT show_id) AS titles FROM fact GROUP BY release_year"))
 def incremental_facts(spark, sf):
     """The star after the runs holds current versions only."""
-    fact = spark.read.parquet(f"{_layout(spark, sf).gold}/fact_content")
+    fact = _layout(spark, sf).read(spark, "fact_content")
     per_title = fact.groupBy("release_year", "title_key").agg(F.count("*").alias("n"))
     return per_title.groupBy("release_year").agg(F.sum("n").alias("facts"), F.count("*").alias("titles"))
 
@@ -323,18 +323,99 @@ def quarantined_records(spark, sf):
 def gated_titles(spark, sf):
     """The titles that a gated run let into silver."""
     layout = _gated_run(spark.sparkContext.applicationId, sf)
-    return spark.read.parquet(layout.silver("silver_titles_scd2")).select("show_id")
+    return layout.read(spark, "silver_titles_scd2").select("show_id")
+
+
+@cache
+def _streamed(app: str, sf: str) -> incremental.Layout:
+    """The bronze files as a stream of one file a batch, merged into silver and gold until none is left."""
+    spark = SparkSession.active()
+    root = f"{workspace(spark)}/stream-{uuid.uuid4().hex}"
+    raw, files = lake.bronze(spark, sf), f"{root}/bronze"
+    # A title's copies lie in one file, so the batches are a partition of the titles.
+    raw.repartition(3, "show_id").write.parquet(files)
+    layout = incremental.Layout([], root)
+    merge = continuous.layers_merger(layout, "bronze", as_of=T1.date().replace(year=lake.AS_OF_YEAR), now=T1)
+    continuous.merge_batches(spark, files, raw.schema, merge, f"{root}/checkpoint", files_per_batch=1).awaitTermination()
+    return layout
 
 
 @query(over_silver("SELECT show_id, type, title, date_added, release_year, rating, duration, 1 AS version_number, true AS is_current FROM silver_titles"))
 def streamed_history(spark, sf):
-    """The bronze files as a stream, merged into silver until none is left."""
-    root = f"{workspace(spark)}/stream-{uuid.uuid4().hex}"
-    raw = lake.bronze(spark, sf)
-    path = lake.bronze_path(spark, sf)
-    merge = continuous.silver_merger(spark, f"{root}/silver", incremental.COMPARE, T1.date().replace(year=lake.AS_OF_YEAR), T1)
-    stream = continuous.merge_batches(spark, path, raw.schema, merge, f"{root}/checkpoint")
-    stream.awaitTermination()
-    return spark.read.parquet(f"{root}/silver/silver_titles_scd2").select(
+    return _streamed(spark.sparkContext.applicationId, sf).read(spark, "silver_titles_scd2").select(
         "show_id", "type", "title", "date_added", "release_year", "rating", "duration", "version_number", "is_current"
     )
+
+
+@query(over_clean("SELECT show_id, title, 'Unparseable date_added format' AS reason_for_failure FROM cleaned WHERE parsed_date IS NULL AND trim(date_added) <> ''"))
+def streamed_rejects(spark, sf):
+    """What the stream could not read, quarantined batch by batch."""
+    folder = _streamed(spark.sparkContext.applicationId, sf).unparsed
+    return spark.read.option("recursiveFileLookup", "true").parquet(folder).select("show_id", "title", "reason_for_failure")
+
+
+@query(over_fact("SELECT release_year, count(*) AS yearly_releases FROM fact GROUP BY release_year"))
+def streamed_releases(spark, sf):
+    """A KPI table that every batch of the stream kept up."""
+    return _streamed(spark.sparkContext.applicationId, sf).read(spark, "kpi_release_summary")
+
+
+MEMBER_SQL = {
+    "director": "SELECT DISTINCT director AS member FROM silver_directors",
+    "country": "SELECT DISTINCT country FROM silver_country",
+    "genre": "SELECT DISTINCT genre FROM silver_genres",
+    "rating": "SELECT DISTINCT rating FROM silver_titles",
+    "type": "SELECT DISTINCT type FROM silver_titles",
+}
+
+
+@query(over_silver(" UNION ALL ".join(f"SELECT '{n}' AS dimension, * FROM ({sql}) t" for n, sql in MEMBER_SQL.items())))
+def incremental_members(spark, sf):
+    """Dimension members kept up by the deltas of three runs."""
+    stored = gold.read_star(_layout(spark, sf).lake(spark))
+    return labelled_union({n: stored.dims[f"dim_{n}"].select(F.col(n).alias("member")) for n in MEMBER_SQL}, "dimension")
+
+
+KPI_SQL = {
+    "country": "SELECT country AS member, count(*) AS total_content FROM fact GROUP BY 1",
+    "genre": "SELECT genre, count(*) FROM fact GROUP BY 1",
+    "rating": "SELECT rating, count(*) FROM fact GROUP BY 1",
+}
+
+
+@query(over_fact(" UNION ALL ".join(f"SELECT '{n}' AS kpi, * FROM ({sql}) t" for n, sql in KPI_SQL.items())))
+def incremental_kpis(spark, sf):
+    """KPI tables kept up by taking away what a delta's titles counted before and adding what they count now."""
+    layout = _layout(spark, sf)
+    return labelled_union({n: layout.read(spark, f"kpi_{n}_summary").select(F.col(n).alias("member"), "total_content") for n in KPI_SQL}, "kpi")
+
+
+@query(
+    over_fact(
+        """
+SELECT 'silver_titles_scd2' AS dataset_name, (SELECT count(*) + count(*) FILTER (rating = '1-URGENT') FROM silver_titles) AS record_count
+UNION ALL SELECT 'silver_country', (SELECT count(*) FROM silver_country)
+UNION ALL SELECT 'silver_genres', (SELECT count(*) FROM silver_genres)
+UNION ALL SELECT 'silver_directors', (SELECT count(*) FROM silver_directors)
+UNION ALL SELECT 'silver_cast', (SELECT count(*) FROM silver_cast)
+UNION ALL SELECT 'fact_content', (SELECT count(*) FROM fact)
+UNION ALL SELECT 'dim_title', (SELECT count(*) FROM silver_titles)
+UNION ALL SELECT 'dim_director', (SELECT count(DISTINCT director) FROM silver_directors)
+UNION ALL SELECT 'dim_country', (SELECT count(DISTINCT country) FROM silver_country)
+UNION ALL SELECT 'dim_genre', (SELECT count(DISTINCT genre) FROM silver_genres)
+UNION ALL SELECT 'dim_rating', (SELECT count(DISTINCT rating) FROM silver_titles)
+UNION ALL SELECT 'dim_type', (SELECT count(DISTINCT type) FROM silver_titles)
+UNION ALL SELECT 'dim_date', (SELECT count(DISTINCT date_added) FROM silver_titles)
+UNION ALL SELECT 'kpi_content_summary', 1
+UNION ALL SELECT 'kpi_country_summary', (SELECT count(DISTINCT country) FROM fact)
+UNION ALL SELECT 'kpi_genre_summary', (SELECT count(DISTINCT genre) FROM fact)
+UNION ALL SELECT 'kpi_rating_summary', (SELECT count(DISTINCT rating) FROM fact)
+UNION ALL SELECT 'kpi_release_summary', (SELECT count(*) FROM (SELECT DISTINCT release_year FROM fact))
+UNION ALL SELECT 'kpi_parts', (SELECT 1 + count(DISTINCT country) + count(DISTINCT genre) + count(DISTINCT rating) FROM fact)
+                              + (SELECT count(*) FROM (SELECT DISTINCT release_year FROM fact))"""
+    )
+)
+def stored_datasets(spark, sf):
+    """Rows of every stored table, as the telemetry of the last run that changed any recorded them."""
+    described = spark.read.parquet(_layout(spark, sf).metadata("dataset_metadata"))
+    return described.filter("pipeline_run_id = 'r2'").select("dataset_name", "record_count")

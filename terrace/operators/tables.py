@@ -91,6 +91,13 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def matching(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows with (or for ``left_anti`` without) one of the keys, where a NULL key equals a NULL key."""
+    ours, theirs = df.alias("ours"), keys.select(*on).alias("theirs")
+    same = reduce(lambda a, b: a & b, (F.col(f"ours.{c}").eqNullSafe(F.col(f"theirs.{c}")) for c in on))
+    return ours.join(theirs, same, how)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], on_conflict: str = "update") -> DataFrame:
     """Keyed upsert. ``source`` holds one row per key; ``on_conflict`` is "update" or "nothing"."""
     source = align_to(source, target.schema)

@@ -1,7 +1,12 @@
-"""High-water-mark loads from bronze to gold."""
+"""High-water-mark loads from bronze to gold.
+
+Silver and gold are tables of one versioned lake. A run reads and rewrites the buckets that its delta touches and becomes
+visible, watermark included, in one commit; a FULL run makes a new version of every table from all of bronze.
+"""
 
 from __future__ import annotations
 
+import math
 import socket
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -15,10 +20,12 @@ from pyspark.sql import functions as F
 from terrace.functions import text
 from terrace.functions.predicates import newer_than
 from terrace.operators import quality, scd, tables
+from terrace.plans import gold as gold_layer
 from terrace.plans import silver as silver_layer
-from terrace.plans import star as star_layer
 from terrace.plans import telemetry
+from terrace.plans.gold import BY_SHOW, TITLES
 from terrace.sources import sinks
+from terrace.sources.snapshots import Change, Lake
 
 # Names older bronze writers used, and the first watermark.
 LEGACY_NAMES = {
@@ -32,29 +39,40 @@ WATERMARK_SCHEMA = """
     pipeline_name string, last_processed_timestamp timestamp, last_successful_batch string,
     last_business_key string, last_run_time_ms long, updated_at timestamp
 """
-# Derived columns depend on the as-of year, so a new year alone is no change.
+# The compared columns. Derived columns depend on the as-of year, so a new year alone is no change.
 COMPARE = ["type", "title", "date_added", "release_year", "rating", "duration", "description"]
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the layers live. ``bronze`` lists the landed source tables."""
+    """Where the layers live. ``bronze`` lists the landed source tables.
+
+    ``bucket_rows`` titles share a bucket when the lake is built, in ``buckets`` at least: a title of a delta rewrites one
+    bucket, so its cost does not grow with the lake.
+    """
 
     bronze: Sequence[str]
     root: str
     name: str = "catalog"
+    bucket_rows: int = 50_000
+    buckets: int = 1
 
-    def silver(self, table: str) -> str:
-        return f"{self.root}/silver/{table}"
+    def lake(self, spark: SparkSession) -> Lake:
+        """Silver and gold tables, versioned together."""
+        return Lake(spark, f"{self.root}/lake")
 
-    @property
-    def gold(self) -> str:
-        return f"{self.root}/gold"
+    def read(self, spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+        """A silver or gold table as of the newest version."""
+        return self.lake(spark).read(table, version)
 
     @property
     def rejects(self) -> str:
         return f"{self.root}/rejected"
 
+    @property
+    def unparsed(self) -> str:
+        return f"{self.root}/transformation_rejects"
+
     def metadata(self, table: str) -> str:
         return f"{self.root}/metadata/{table}"
 
@@ -154,13 +172,36 @@ def apply_scd2(
     return stats
 
 
-def apply_bridge(spark: SparkSession, path: str, incoming: DataFrame, key: str) -> None:
-    """Replace the incoming keys' rows in a stored bridge table."""
-    sinks.recover(spark, path)
-    if sinks.table_exists(spark, path):
-        sinks.replace_table(tables.replace_bridge(spark.read.parquet(path), incoming, key), path)
-    else:
-        sinks.replace_table(incoming, path)
+# --- touched-bucket merges ----------------------------------------------------------------------
+
+
+def merge_titles(change: Change, incoming: DataFrame, compare: Sequence[str], as_of: date, now: datetime) -> dict[str, int]:
+    """Merge one row per title into the stored history; only buckets in which a version changes are rewritten."""
+    target = change.before(TITLES, change.touched(TITLES, incoming))
+    merged = scd.scd2_changes(target, incoming, ["show_id"], compare, as_of, now, scd.UNIQUE)
+    changes = sinks.stage(merged, "changes")
+    found = {r["_action"]: r["n"] for r in changes.groupBy("_action").agg(F.count("*").alias("n")).collect()}
+    if found:
+        buckets = change.touched(TITLES, changes)
+        closed = changes.filter(F.col("_action") == "expired")
+        kept = tables.matching(change.before(TITLES, buckets), closed, ["show_id", "version_number"], "left_anti")
+        change.rewrite(TITLES, kept.unionByName(changes.drop("_action")), buckets)
+    return {a: found.get(a, 0) for a in ("inserted", "expired", "new_version")}
+
+
+def merge_bridge(change: Change, name: str, incoming: DataFrame) -> None:
+    """The incoming titles lose their rows in a stored bridge and get the incoming ones; their buckets are rewritten."""
+    buckets = change.touched(name, incoming)
+    kept = tables.matching(change.before(name, buckets), incoming, ["show_id"], "left_anti")
+    change.rewrite(name, kept.unionByName(incoming), buckets)
+
+
+def _part(change: Change, keys: DataFrame, buckets: Sequence[int], of: Callable) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Current versions and bridge rows of some titles, before the change or after it, written once."""
+    jobs = {TITLES: scd.current_view(of(TITLES, buckets)), **{b: of(b, buckets) for b in silver_layer.BRIDGES if b != "silver_cast"}}
+    done = sinks.run_together(partial(sinks.stage, tables.matching(df, keys, ["show_id"]), name) for name, df in jobs.items())
+    found = dict(zip(jobs, done, strict=True))
+    return found.pop(TITLES), found
 
 
 # --- the run ------------------------------------------------------------------------------------
@@ -224,40 +265,64 @@ def _clean(passed: DataFrame, as_of: date, order: Sequence | None, run_id: str)
     return silver_layer.build_silver(passed, as_of.year, order=order, persist=persist), seen.get
 
 
-def _load(
-    spark: SparkSession, layout: Layout, steps: Steps, batch_id: str, run_id: str, as_of: date, now: datetime,
+def _rebuild(change: Change, built: silver_layer.Silver, steps: Steps, layout: Layout, rows: int, batch_id: str, run_id: str, as_of: date, now: datetime) -> dict[str, int]:
+    """Every silver and gold table anew from the rows of a FULL load; keys it does not hold are gone."""
+    buckets = max(math.ceil(rows / layout.bucket_rows), layout.buckets)
+    first = scd.scd2_initial(built.titles, ["show_id"], as_of, now, scd.UNIQUE)
+    bridges = [partial(change.replace, n, df, BY_SHOW, buckets) for n, df in built.bridges.items()]
+    sinks.run_together(
+        [
+            lambda: steps.timed("SCD_Type2", lambda: change.replace(TITLES, first, BY_SHOW, buckets)),
+            lambda: steps.timed("SCD_Type1", lambda: sinks.run_together(bridges)),
+        ]
+    )
+    stored = {b: change.read(b) for b in silver_layer.BRIDGES}
+    steps.timed("Gold", lambda: gold_layer.rebuild(change, scd.current_view(change.read(TITLES)), stored, batch_id, run_id, buckets))
+    return {"inserted": rows, "expired": 0, "new_version": 0}
+
+
+def _refresh(change: Change, built: silver_layer.Silver, steps: Steps, compare: Sequence[str], batch_id: str, run_id: str, as_of: date, now: datetime) -> dict[str, int]:
+    """Merge a delta into silver and take its difference over into gold, touched buckets only."""
+    bridges = [partial(merge_bridge, change, n, df) for n, df in built.bridges.items()]
+    stats, _ = sinks.run_together(
+        [
+            lambda: steps.timed("SCD_Type2", lambda: merge_titles(change, built.titles, compare, as_of, now)),
+            lambda: steps.timed("SCD_Type1", lambda: sinks.run_together(bridges)),
+        ]
+    )
+
+    def gold() -> None:
+        keys = built.titles.select("show_id")
+        buckets = change.touched(TITLES, keys)
+        old, new = (_part(change, keys, buckets, of) for of in (change.before, change.read))
+        gold_layer.refresh(change, keys, old, new, batch_id, run_id)
+
+    steps.timed("Gold", gold)
+    return stats
+
+
+def apply_rows(
+    change: Change, rows: DataFrame, layout: Layout, steps: Steps, batch_id: str, run_id: str, as_of: date, now: datetime,
     full: bool, rules: quality.Rules | None, gate: bool, compare: Sequence[str], order: Sequence | None,
 ) -> RunMetrics:
-    bronze = consolidate([spark.read.parquet(p) for p in layout.bronze], run_id)
-    mark = EPOCH if full else read_watermark(spark, layout.metadata("watermarks"), layout.name)
-    day = "ingestion_date" if "ingestion_date" in bronze.columns else None
-    delta = bronze if full else newer_than(bronze, "ingestion_timestamp", mark, day)
-    if delta.isEmpty():
-        return RunMetrics("SKIPPED", watermark=mark)
-
-    judged, counted = steps.timed("Validation", lambda: _judge(delta, rules, run_id))
+    """Bronze rows through rules, cleaning and merges into a change of the lake; what fails is quarantined under the batch."""
+    judged, counted = steps.timed("Validation", lambda: _judge(rows, rules, run_id))
     bad = F.size("reasons") > 0
+    spark = rows.sparkSession
     if counted["rejected"]:
         rejected = judged.filter(bad).withColumn("reason_for_failure", F.concat_ws(", ", "reasons"))
         sinks.write_rejects(rejected, layout.rejects, batch_id, now)
     passed = (judged.filter(~bad) if gate else judged).drop("reasons")
     built, cleaned = steps.timed("Silver_Cleansing", lambda: _clean(passed, as_of, order, run_id))
     if cleaned["failed_dates"]:
-        sinks.write_rejects(built.rejects, f"{layout.root}/transformation_rejects", batch_id, now)
-
-    history = layout.silver("silver_titles_scd2")
-    type2 = partial(apply_scd2, spark, history, built.titles, ["show_id"], compare, as_of, now, "release_year")
-    type1 = [partial(apply_bridge, spark, layout.silver(n), df, "show_id") for n, df in built.bridges.items()]
-    merged, _ = sinks.run_together(
-        [
-            lambda: steps.timed("SCD_Type2", type2),
-            lambda: steps.timed("SCD_Type1", lambda: sinks.run_together(type1)),
-        ]
-    )
-    if sinks.table_exists(spark, history):
-        bridges = {b: spark.read.parquet(layout.silver(b)) for b in silver_layer.BRIDGES}
-        star = star_layer.build_star(spark.read.parquet(history), bridges, batch_id, run_id)
-        steps.timed("Gold", lambda: star_layer.write_star(star, layout.gold))
+        sinks.write_rejects(built.rejects, layout.unparsed, batch_id, now)
+    written = cleaned["kept"] - cleaned["failed_dates"]
+    if full or TITLES not in change:
+        merged = _rebuild(change, built, steps, layout, written, batch_id, run_id, as_of, now)
+    elif written:
+        merged = _refresh(change, built, steps, compare, batch_id, run_id, as_of, now)
+    else:
+        merged = {"inserted": 0, "expired": 0, "new_version": 0}
 
     taken = counted["processed"] - (counted["rejected"] if gate else 0)
     result = RunMetrics(
@@ -272,7 +337,6 @@ def _load(
         updated=merged["expired"],
         watermark=counted["watermark"],
     )
-    written = cleaned["kept"] - cleaned["failed_dates"]
     steps.note("Validation", records_read=result.processed, records_written=taken, records_rejected=result.rejected)
     steps.note(
         "Silver_Cleansing", records_read=taken, records_written=written,
@@ -283,6 +347,25 @@ def _load(
     return result
 
 
+def _load(
+    spark: SparkSession, layout: Layout, steps: Steps, batch_id: str, run_id: str, as_of: date, now: datetime,
+    full: bool, rules: quality.Rules | None, gate: bool, compare: Sequence[str], order: Sequence | None,
+) -> RunMetrics:
+    change = layout.lake(spark).begin()
+    bronze = consolidate([spark.read.parquet(p) for p in layout.bronze], run_id)
+    kept = change.state.get(f"watermark {layout.name}")
+    mark = EPOCH if full or kept is None else datetime.fromisoformat(kept)
+    day = "ingestion_date" if "ingestion_date" in bronze.columns else None
+    delta = bronze if full else newer_than(bronze, "ingestion_timestamp", mark, day)
+    if delta.isEmpty():
+        return RunMetrics("SKIPPED", watermark=mark)
+    result = apply_rows(change, delta, layout, steps, batch_id, run_id, as_of, now, full, rules, gate, compare, order)
+    if result.watermark is not None:
+        change.state[f"watermark {layout.name}"] = result.watermark.isoformat()
+    change.commit()
+    return result
+
+
 def run_pipeline(
     spark: SparkSession,
     layout: Layout,
@@ -299,9 +382,11 @@ def run_pipeline(
 ) -> RunMetrics:
     """I4: bronze delta to silver, SCD tables, star, telemetry and watermark.
 
-    The watermark is committed last and every merge is idempotent, so a run
-    that dies halfway is simply run again; a run without new rows changes no
-    table. ``gate=False`` lets rows that break the rules through to silver.
+    All tables and the watermark change in one commit, so a run that dies
+    before it leaves the lake as it was and is simply run again; a run
+    without new rows changes no table. ``full`` takes all of bronze and
+    overwrites every layer. ``gate=False`` lets rows that break the rules
+    through to silver.
     """
     started = datetime.now()
     steps = Steps(run_id)
@@ -329,10 +414,10 @@ def run_pipeline(
         close("SKIPPED", watermark_timestamp=result.watermark)
         return result
 
-    tables_now = {"silver_titles_scd2": layout.silver("silver_titles_scd2"), "fact_content": f"{layout.gold}/fact_content"}
-    stored = [telemetry.describe_dataset(spark, p, n, run_id, now) for n, p in tables_now.items() if sinks.table_exists(spark, p)]
-    if stored:
-        telemetry.record(spark, layout.metadata("dataset_metadata"), telemetry.DATASET_SCHEMA, *stored)
+    stored = layout.lake(spark)
+    described = telemetry.describe_datasets({n: (f"{stored.root}/data/{n}", stored.frame(t)) for n, t in stored.snapshot().tables.items()}, run_id, now)
+    telemetry.record(spark, layout.metadata("dataset_metadata"), telemetry.DATASET_SCHEMA, *described)
+    stored.vacuum()
     elapsed = close(
         "SUCCESS", watermark_timestamp=result.watermark, rows_read=result.processed, rows_inserted=result.inserted,
         rows_updated=result.updated, rows_skipped=result.duplicates, rows_rejected=result.rejected,

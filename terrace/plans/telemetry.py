@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,21 @@ def describe_dataset(spark: SparkSession, path: str, name: str, run_id: str, now
     }
 
 
+def describe_datasets(stored: Mapping[str, tuple[str, DataFrame]], run_id: str, now: datetime) -> list[dict[str, Any]]:
+    """One entry per stored table (name: path and frame), all counted in one job from file footers."""
+    if not stored:
+        return []
+    counted = reduce(DataFrame.unionAll, (df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, (_, df) in stored.items()))
+    rows = {r["name"]: r["n"] for r in counted.collect()}
+    return [
+        {
+            "pipeline_run_id": run_id, "dataset_name": name, "storage_format": "PARQUET", "destination_path": path,
+            "record_count": rows[name], "schema_definition": df.schema.json(), "updated_at": now,
+        }
+        for name, (path, df) in stored.items()
+    ]
+
+
 def latest_success(runs: DataFrame, start: str = "start_time", status: str = "execution_status", tie: str = "pipeline_run_id") -> DataFrame:
     """T4: the most recent successful run."""
     return runs.filter(F.col(status) == "SUCCESS").orderBy(F.desc(start), tie).limit(1)

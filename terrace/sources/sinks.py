@@ -20,7 +20,7 @@ PENDING = "__pending"
 COMMITTED = "_COMMITTED"
 
 
-def _located(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     """The Hadoop path and the file system that holds it."""
     sc = spark.sparkContext
     location = sc._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,31 +29,31 @@ def _located(spark: SparkSession, path: str):
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished write is stored at ``path``; a folder that a dying write left behind is no table."""
-    marker, fs = _located(spark, f"{path}/_SUCCESS")
+    marker, fs = filesystem(spark, f"{path}/_SUCCESS")
     return fs.exists(marker)
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder of derived data, if it is there."""
-    location, fs = _located(spark, path)
+    location, fs = filesystem(spark, path)
     fs.delete(location, True)
 
 
 def _move(spark: SparkSession, source: str, target: str) -> None:
     """Put the folder ``source`` in the place of ``target``. Repeating it after a crash gives the same state."""
-    location, fs = _located(spark, target)
+    location, fs = filesystem(spark, target)
     fs.delete(location, True)
     fs.mkdirs(location.getParent())
-    if not fs.rename(_located(spark, source)[0], location):
+    if not fs.rename(filesystem(spark, source)[0], location):
         raise OSError(f"cannot move {source} to {target}")
 
 
 def _swap(spark: SparkSession, pending: str, path: str) -> None:
     """Bring a committed replacement into place: the whole table, or its partition directories one by one."""
-    whole, fs = _located(spark, f"{pending}/table")
+    whole, fs = filesystem(spark, f"{pending}/table")
     if fs.exists(whole):
         _move(spark, f"{pending}/table", path)
-    parts, _ = _located(spark, f"{pending}/partitions")
+    parts, _ = filesystem(spark, f"{pending}/partitions")
     if fs.exists(parts):
         leaves = {f.getPath().getParent() for f in _files(fs, parts) if not f.getPath().getName().startswith(("_", "."))}
         for leaf in sorted(leaves, key=str):
@@ -71,11 +71,11 @@ def _files(fs, location) -> list:
 
 def recover(spark: SparkSession, path: str) -> None:
     """Finish the committed replacements of a table that a crash interrupted, and drop those never committed."""
-    pending, fs = _located(spark, f"{path}{PENDING}")
+    pending, fs = filesystem(spark, f"{path}{PENDING}")
     if not fs.exists(pending):
         return
     for found in sorted((f.getPath() for f in fs.listStatus(pending)), key=str):
-        marker, _ = _located(spark, f"{found}/{COMMITTED}")
+        marker, _ = filesystem(spark, f"{found}/{COMMITTED}")
         if fs.exists(marker):
             _swap(spark, str(found), path)
         else:
@@ -87,7 +87,7 @@ def _replace(spark: SparkSession, path: str, kind: str, write: Callable[[str], N
     recover(spark, path)
     pending = f"{path}{PENDING}/{uuid.uuid4().hex}"
     write(f"{pending}/{kind}")
-    marker, fs = _located(spark, f"{pending}/{COMMITTED}")
+    marker, fs = filesystem(spark, f"{pending}/{COMMITTED}")
     fs.create(marker).close()
     _swap(spark, pending, path)
 
@@ -115,9 +115,14 @@ def run_together(jobs: Iterable[Callable[[], object]], width: int = 4) -> list:
 
 
 def write_bronze(df: DataFrame, path: str, load_type: str) -> None:
-    """FULL replaces the table, INCREMENTAL appends to it. One load has one date, so no shuffle is needed."""
-    mode = {"FULL": "overwrite", "INCREMENTAL": "append"}[load_type.upper()]
-    df.write.mode(mode).partitionBy("ingestion_date").parquet(path)
+    """FULL replaces the table by a committed swap, INCREMENTAL appends to it. One load has one date, so no shuffle is needed."""
+    if load_type.upper() == "FULL":
+        _replace(df.sparkSession, path, "table", lambda at: df.write.partitionBy("ingestion_date").parquet(at))
+    elif load_type.upper() == "INCREMENTAL":
+        recover(df.sparkSession, path)
+        df.write.mode("append").partitionBy("ingestion_date").parquet(path)
+    else:
+        raise KeyError(load_type)
 
 
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import text_runs, with_text_columns
+from terrace.llm.common import text_runs, unused, with_text_columns
 
 MEMO_ENTRIES = 1 << 18
 MEMO_BYTES = 64
@@ -156,7 +156,12 @@ def digests(decoded: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def with_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of the text encoded and decoded again."""
+    """All columns of ``docs`` and ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of the text encoded and decoded again.
+
+    Columns of ``docs`` that have these names are replaced.
+    """
+    docs = docs.drop("n_tokens", "ids_sha256", "decoded_sha256")
+    ids, decoded = unused(docs, "_ids", "_decoded")
     shipped = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def start():
@@ -167,13 +172,12 @@ def with_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: s
         def compute(texts: list) -> list[pa.Array]:
             each = [encoder.encode(t or "") for t in texts]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(each)))
-            return [ids, pa.array([b"".join(map(token, x.tolist())) for x in each], pa.binary())]
+            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(each))), pa.array([b"".join(map(token, x.tolist())) for x in each], pa.binary())]
 
         return compute
 
-    coded = with_text_columns(docs, text, {"_ids": "array<int>", "_decoded": "binary"}, start)
+    coded = with_text_columns(docs, text, {ids: "array<int>", decoded: "binary"}, start)
     return coded.select(
-        *docs.columns, F.size("_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("_decoded", 256).alias("decoded_sha256"),
+        *(F.col(f"`{c}`") for c in docs.columns), F.size(ids).cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col(ids).cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"),
     )

@@ -81,6 +81,16 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: str
     return left.withColumn("_salt", salt).join(copies, [key, "_salt"], "left").drop("_salt")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores put before it until no column of ``df`` has it (names differ by more than case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def text_runs(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 22) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of the batches with at most ``most`` bytes of text each (or one row), and their texts."""
     for batch in batches:

@@ -136,8 +136,9 @@ def scan(
 ) -> DataFrame:
     """All columns of ``docs`` and ``_notice``, ``_notice_score`` (best line), ``_file``, ``_file_score`` (whole text).
 
-    Lines are compared with ``templates``, whole texts with ``templates`` and ``texts`` (by default ``licence_texts()``). NULL, empty and wordless texts have no licence and score 0. Ties go to the smaller licence name.
+    Lines are compared with ``templates``, whole texts with ``templates`` and ``texts`` (by default ``licence_texts()``). NULL, empty and wordless texts have no licence and score 0. Ties go to the smaller licence name. Columns of ``docs`` that have these names are replaced.
     """
+    docs = docs.drop("_notice", "_notice_score", "_file", "_file_score")
     seen, lines = frequencies(docs, text)
     texts = licence_texts() if texts is None else texts
     shipped = docs.sparkSession.sparkContext.broadcast((sorted({*templates, *texts}), templates, texts, weights(seen, lines)))
@@ -187,16 +188,18 @@ def inherit(scanned: DataFrame, key: str, path: str = "path") -> DataFrame:
 
     ``scanned`` has ``_notice``, ``_notice_score``, ``_file`` and ``_file_score``. A licence file covers its directory and all
     below it, up to nearer ones; of several in one directory the highest score counts, then the smaller licence name. A NULL
-    path or one without a directory inherits nothing. Directories are resolved once each, however many files they hold.
+    path inherits nothing; a path without a slash lies in the root, the empty directory, which covers all paths that don't begin
+    with a slash (one that does lies below the directory ``/``). Directories are resolved once each, however many files they hold.
     """
-    parent = F.when(F.col(path).contains("/"), F.regexp_replace(path, "/[^/]*$", ""))
+    parent = F.when(F.col(path).contains("/"), F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.substring(path, 1, 0))
     files = stage(scanned.select(key, path, "_notice", "_notice_score", "_file", "_file_score", parent.alias("dir")), "scanned")
     found = files.where(F.col("_file").isNotNull() & F.col("dir").isNotNull())
     best = found.groupBy(F.col("dir").alias("directory")).agg(F.min(F.struct((-F.col("_file_score")).alias("less"), F.col("_file").alias("licence"))).alias("best"))
     steps = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(steps, F.lit(1), n), "/").alias("directory")))
-    dirs = files.select("dir").where("dir IS NOT NULL").distinct().select("dir", F.inline(above))
-    nearest = dirs.join(best, "directory").groupBy("dir").agg(F.max(F.struct("depth", "directory", "best")).alias("near"))
+    root = F.array(F.struct(F.lit(0).alias("depth"), F.lit("").alias("directory")))
+    dirs = files.select("dir").where("dir IS NOT NULL").distinct().select("dir", F.inline(F.concat(root, above)))
+    nearest = salted_left_join(dirs, best, "directory", "dir").where("best IS NOT NULL").groupBy("dir").agg(F.max(F.struct("depth", "directory", "best")).alias("near"))
     covered = salted_left_join(files, nearest, "dir", key)
     own = F.col("_notice").isNotNull()
     from_dir = ~own & F.col("near").isNotNull()

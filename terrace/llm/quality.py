@@ -174,12 +174,12 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def with_scores(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``_score``."""
+def with_scores(docs: DataFrame, model: Model | None, text: str = "text", score: str = "_score") -> DataFrame:
+    """All columns of ``docs`` and the column ``score``, which must be none of them."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
         model = shipped.value
         return lambda texts: [pa.array(model.scores(np.stack([measures(t) for t in texts])) if model else np.full(len(texts), 0.5))]
 
-    return with_text_columns(docs, text, {"_score": "double"}, start)
+    return with_text_columns(docs, text, {score: "double"}, start)

@@ -13,7 +13,7 @@ has more or all bits are used, when a key is one word, which at most ``C(64, <=
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -232,30 +232,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return named.select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def without_near_duplicates(docs: DataFrame, widths: tuple[int, ...], key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, shingles: Sequence[tuple[int, int]], key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` but one document per group: that of the smallest key stays.
 
-    Documents are linked when their fingerprints of any of the shingle ``widths`` differ in ``2 * radius`` bits or fewer.
-    Rows that repeat a key are one document and stay together; a NULL key is a key, and the smallest.
+    Documents are linked when their fingerprints of any of the ``shingles`` (width, hash seed) differ in ``2 * radius`` bits or
+    fewer; the first pair must be no repetition. A document is a key with a text: rows that repeat both stay together, different
+    texts of one key are different documents. A NULL key is a key, and the smallest.
     """
-    names = [f"_fp{w}" for w in widths]
+    names = [f"fp{i}" for i in range(len(shingles))]
 
     def start():
-        return lambda texts: [pa.array(np.array([fingerprint(t, w) for t in texts], np.uint64).view(np.int64)) for w in widths]
+        return lambda texts: [pa.array(np.array([fingerprint(t, *s) for t in texts], np.uint64).view(np.int64)) for s in shingles]
 
-    cols = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    cols = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
     prints = stage(with_text_columns(cols, "t", dict.fromkeys(names, "bigint"), start).drop("t"), "prints")
     edges = None
-    for w, name in zip(widths, names, strict=True):
+    for i, name in enumerate(names):
         nodes = stage(prints.select(F.col(name).alias("fp")).distinct(), "nodes")
         near = links(nodes, nodes.count(), radius)
-        own = near.select(*(F.xxhash64(c, F.lit(w)).alias(c) for c in "ab"))
+        own = near.select(*(F.xxhash64(c, F.lit(i)).alias(c) for c in "ab"))
         edges = own if edges is None else edges.union(own)
-    first = F.xxhash64(names[0], F.lit(widths[0]))
-    for w, name in zip(widths[1:], names[1:], strict=True):  # the fingerprints of one text belong together
-        edges = edges.union(prints.select(first.alias("a"), F.xxhash64(name, F.lit(w)).alias("b")).distinct())
+    first = F.xxhash64(names[0], F.lit(0))
+    for i, name in enumerate(names[1:], 1):  # the fingerprints of one text belong together
+        edges = edges.union(prints.select(first.alias("a"), F.xxhash64(name, F.lit(i)).alias("b")).distinct())
     roots = components(edges)
-    nodes = prints.groupBy(first.alias("node")).agg(F.min(F.struct("k")).alias("least"))
+    nodes = prints.groupBy(first.alias("node")).agg(F.min(F.struct("k", "h")).alias("least"))
     member = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    chosen = member.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.k").alias("_chosen"))
-    return docs.join(chosen, docs[key].eqNullSafe(chosen["_chosen"]), "left_semi")
+    chosen = member.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.k").alias("chosen_key"), F.col("least.h").alias("chosen_hash"))
+    same = docs[key].eqNullSafe(chosen["chosen_key"]) & (F.xxhash64(docs[text]) == chosen["chosen_hash"])
+    return docs.join(chosen, same, "left_semi")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import stage, text_runs
+from terrace.llm.common import stage, text_runs, unused
 
 LENGTH = 100
 GRAM = 24
@@ -266,6 +266,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     return whole.union(_shared_windows(judged.where("NOT removed").drop("removed"), located, length, bucket, split))
 
 
+ADDED = ["_n_bytes", "_n_removed", "_n_spans", "_kept"]
+
+
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, bucket: int = BUCKET, split: int = SPLIT,
 ) -> DataFrame:
@@ -273,18 +276,21 @@ def remove_repeats(
 
     ``key`` is a whole number. NULL and empty texts have no bytes; texts shorter than ``length`` keep all. Of equal strings
     the one with the smallest key, then the smallest start, stays. A NULL key counts as the smallest. Rows that repeat key
-    and text are the same document and share their result; different texts of one key are told apart by a hash.
+    and text are the same document and share their result; different texts of one key are told apart by a hash. Columns of
+    ``docs`` that have the names of the added ones are replaced.
     """
+    docs = docs.drop(*ADDED)
+    at, part_of, found = unused(docs, "_doc", "_part", "_spans")
     spans = repeated_spans(docs, key, text, length, bucket, split)
-    per_doc = spans.groupBy("doc", "part").agg(F.collect_list(F.struct("start", "size")).alias("_spans"))
+    per_doc = spans.groupBy("doc", "part").agg(F.collect_list(F.struct("start", "size")).alias(found))
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumns({"_doc": F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)), "_part": F.hash(body)})
-    joined = rows.join(per_doc.withColumnsRenamed({"doc": "_doc", "part": "_part"}), ["_doc", "_part"], "left").drop("_doc", "_part")
+    rows = docs.withColumns({at: F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)), part_of: F.hash(body)})
+    joined = rows.join(per_doc.withColumnsRenamed({"doc": at, "part": part_of}), [at, part_of], "left").drop(at, part_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_runs(batches, text):
             out = []
-            for body, spans in zip(texts, part.column("_spans"), strict=True):
+            for body, spans in zip(texts, part.column(found), strict=True):
                 raw = (body or "").encode("utf-8", "replace")
                 if not spans.is_valid or not len(spans):
                     out.append((len(raw), 0, 0, raw))
@@ -295,9 +301,9 @@ def remove_repeats(
                 gone = np.cumsum(edge)[: len(raw)] > 0
                 runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 out.append((len(raw), int(gone.sum()), runs, np.frombuffer(raw, np.uint8)[~gone].tobytes()))
-            part = part.drop_columns(["_spans"])
+            part = part.drop_columns([found])
             added = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
-            yield pa.record_batch([*part.columns, *added], names=[*part.schema.names, "_n_bytes", "_n_removed", "_n_spans", "_kept"])
+            yield pa.record_batch([*part.columns, *added], names=[*part.schema.names, *ADDED])
 
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return joined.mapInArrow(run, f"{shape}, _n_bytes bigint, _n_removed bigint, _n_spans bigint, _kept binary")
@@ -305,6 +311,7 @@ def remove_repeats(
 
 def kept_text(removed: DataFrame) -> DataFrame:
     """The result of :func:`remove_repeats` with ``_kept_text``: characters that lost only some of their bytes go whole."""
+    removed = removed.drop("_kept_text")
     shape = [f"`{f.name}` {f.dataType.simpleString()}" for f in removed.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -134,7 +135,7 @@ def test_near_duplicates_equal_all_pairs(spark):
 def test_one_document_of_each_group_stays(spark):
     base = " ".join(f"wort{i}" for i in range(300))
     rows = [(1, base), (2, base), (3, base.replace("wort7 ", "anders ")), (4, "something else entirely, and long enough"), (4, "something else entirely, and long enough"), (5, None), (6, "")]
-    kept = simhash.without_near_duplicates(documents(spark, rows), (5, 2))
+    kept = simhash.without_near_duplicates(documents(spark, rows), ((5, 42), (2, 42)))
     assert kept.columns == ["doc_id", "text", "fp"]
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 4, 5]
 
@@ -256,3 +257,56 @@ def test_stages_take_odd_documents(spark):
     for _, apply in corpus_pipeline.STAGES:
         assert apply(spark, odd, SF).count() <= len(ODD)
         assert apply(spark, odd.limit(0), SF).count() == 0
+
+
+def test_documents_that_share_or_lack_a_key_are_told_apart(spark):
+    """A clean text stays when another text of its key, or another text without a key, is contaminated or a near copy."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").first().text
+    shape = "doc_id long, text string, lang string, source string, n_chars long"
+    clean = ["ein ruhiger Text ohne fremde Stellen " * 3, "un autre texte tranquille et sans passage " * 3]
+    rows = [(k, t, None, None, None) for k, own in ((None, clean[0]), (7, clean[1])) for t in (own, f"before {item} after")]
+    kept = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, shape), SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("None", clean[0]), ("7", clean[1])])
+    base = " ".join(f"wort{i}" for i in range(300))
+    other = " ".join(f"mot{i}" for i in range(300))
+    rows = [(k, t, None, None, None) for k, t in ((None, base), (None, other), (7, base + " ende"), (7, "etwas ganz anderes steht hier"), (8, other + " fin"))]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, shape), SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("None", base), ("None", other), ("7", "etwas ganz anderes steht hier")])
+
+
+INTERNAL = ["_ids", "_decoded", "n_tokens", "ids_sha256", "_score", "_doc", "_part", "_spans", "_n_bytes", "_n_removed", "_kept", "_kept_text", "k", "t", "h", "fp", "fp0", "document", "chosen_key", "least", "words", "start", "at", "_salt", "node", "root"]
+
+
+def test_stages_keep_columns_named_like_their_own(spark):
+    shape = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in INTERNAL)
+    docs = spark.createDataFrame([(i, f"ein kurzer Text Nummer {i} mit Wörtern {i * i}" * 4, *INTERNAL) for i in range(4)], shape)
+    for name, apply in corpus_pipeline.STAGES:
+        found = apply(spark, docs, SF)
+        want = [c for c in docs.columns if name != "byte-level BPE" or c not in ("n_tokens", "ids_sha256")]
+        assert found.columns[: len(want)] == want and len(set(found.columns)) == len(found.columns)
+        own = [c for c in INTERNAL if c in want and not (name == "suffix-array dedup" and c in ("_n_bytes", "_n_removed", "_kept", "_kept_text"))]
+        assert all(r[c] == c for r in found.collect() for c in own), name
+    again = corpus_pipeline.encode_bytes(spark, corpus_pipeline.encode_bytes(spark, docs, SF), SF)
+    assert again.count() == 4 and again.columns.count("n_tokens") == 1
+
+
+def test_near_copies_of_the_corpus_are_found(spark):
+    """Brute force over five-word shingles: at least 85 % of the pairs at 0.8 or more are linked directly by one of the pipeline's fingerprints."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect() if r.text]
+    words = {i: t.lower().split() for i, t in rows}
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(len(w) - 4, 1))} for i, w in words.items()}
+    holders = {}
+    for i, s in sets.items():
+        for g in s:
+            holders.setdefault(g, []).append(i)
+    shared = {}
+    for h in holders.values():
+        if 1 < len(h) <= 40:
+            for a, b in combinations(sorted(h), 2):
+                shared[a, b] = shared.get((a, b), 0) + 1
+    near = [(a, b) for (a, b), n in shared.items() if n >= 0.5 * min(len(sets[a]), len(sets[b])) and 0.8 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 1]
+    text, prints = dict(rows), {}
+    for i in {x for p in near for x in p}:
+        prints[i] = [simhash.fingerprint(text[i], *s) for s in corpus_pipeline.SHINGLES]
+    linked = sum(any((x ^ y).bit_count() <= 4 for x, y in zip(prints[a], prints[b], strict=True)) for a, b in near)
+    assert len(near) > 100 and linked / len(near) > 0.85

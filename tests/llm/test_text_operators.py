@@ -175,6 +175,14 @@ def test_notices_and_inheritance(spark):
     assert licences.inherit(licences.scan(files.limit(0)), "doc_id").count() == 0
 
 
+def test_the_root_covers_every_path(spark):
+    mit = licences.licence_texts()["MIT"][0]
+    rows = [(1, "LICENSE", mit), (2, "src/x.py", "nothing"), (3, "top.py", None), (4, "/abs/y.py", "nothing"), (5, "sub/LICENSE", "This work is licensed under the GNU General Public License, version 3."), (6, "sub/z/q", "nothing"), (7, None, "nothing")]
+    files = spark.createDataFrame([(*r, "own") for r in rows], "doc_id long, path string, text string, _notice string")
+    found = {r.doc_id: (r.license, r.directory) for r in licences.inherit(licences.scan(files), "doc_id").collect()}
+    assert found[2] == found[3] == found[4] == ("MIT", "") and found[6] == ("GPL-3.0", "sub") and found[7] == (None, None)
+
+
 def test_whole_licence_files_cover_their_directories(spark):
     whole = {n: licences.licence_texts()[n][0] for n in ("Apache-2.0", "GPL-3.0", "BSD-3-Clause", "MPL-2.0", "MIT", "GPL-2.0", "LGPL-2.1", "CC-BY-4.0", "CC-BY-NC-4.0")}
     rows = []

@@ -1,7 +1,8 @@
 """Corpus pipeline: quality classifier, near-dedup, repeated-string removal, benchmark decontamination, tokens.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read again as the next one's docs.
-All but the last return the columns of ``docs``. Rows with a NULL or repeated ``doc_id`` are kept apart by their text.
+All but the last return the columns of ``docs``. A document is a ``doc_id`` with a text, so rows with a NULL or repeated ``doc_id``
+are kept apart by their text; rows equal in both share their fate.
 """
 
 from __future__ import annotations
@@ -10,21 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import bpe, decontaminate, quality, simhash, suffixes
-from terrace.llm.common import stage, table
+from terrace.llm.common import stage, table, unused
 from terrace.llm.queries import quality_model, tokenizer
 
-WIDTHS = (5, 2)  # shingle widths of the fingerprints that link near-duplicates
+# Shingle widths and hash seeds of the fingerprints that link near-duplicates: each one misses near copies by chance, and the
+# seeds make their chances nearly independent.
+SHINGLES = ((5, 42), (2, 42), (2, 43), (2, 44))
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects; NULL and empty texts are scored like any other."""
-    scored = quality.with_scores(docs, quality_model(spark, sf_dir))
-    return scored.where(F.col("_score") >= quality.THRESHOLD).select(docs.columns)
+    (score,) = unused(docs, "_score")
+    scored = quality.with_scores(docs, quality_model(spark, sf_dir), score=score)
+    return scored.where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, that of the smallest ``doc_id``, of each group whose SimHashes over word shingles link."""
-    return simhash.without_near_duplicates(docs, WIDTHS)
+    return simhash.without_near_duplicates(docs, SHINGLES)
 
 
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +42,11 @@ def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents in which a window of a benchmark item occurs."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    """Drop the documents in which a window of a benchmark item occurs; other texts of their ``doc_id`` stay."""
+    told_apart = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("document"), "text")
+    found = decontaminate.contamination(told_apart, table(spark, sf_dir, "benchmark"), key="document").where("contaminated").select("document")
+    same = docs["doc_id"].eqNullSafe(found["document.doc_id"]) & (F.xxhash64(docs["text"]) == found["document.hash"])
+    return docs.join(found, same, "left_anti")
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ SKIPPABLE = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL = "\r\n"
 
-ARCHIVE_BYTES = 16 << 20  # payload bytes per archive
+ARCHIVE_BYTES = 4 << 20  # record bytes per archive: what a task holds of one, and a row of the archive table is no larger
 DICTIONARY_BYTES = 32 << 10
 TRAINING_BYTES = 1 << 20  # records that a dictionary is trained on, evenly spread over the archive
 LEVEL = 3
@@ -76,13 +76,16 @@ def pack(records: list[bytes], name: str, date: str = DATE) -> bytes:
     return b"".join([struct.pack("<II", SKIPPABLE, len(raw)), raw, compress(first + info + (EOL * 2).encode()), *map(compress, records)])
 
 
-def unpack(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (lower-case names, ``type`` included) and block of each record of an archive file."""
-    at, shared = 0, None
-    if len(content) >= 8 and (found := struct.unpack_from("<II", content))[0] == SKIPPABLE:
+def unpack(content: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (lower-case names, ``type`` included) and block of each record of an archive file.
+
+    The file is read where it lies, record by record: nothing but the record at hand is copied.
+    """
+    at, shared, view = 0, None, memoryview(content)
+    if len(view) >= 8 and (found := struct.unpack_from("<II", view))[0] == SKIPPABLE:
         at = 8 + found[1]
-        shared = zstandard.ZstdCompressionDict(content[8:at])
-    opened = zstandard.ZstdDecompressor(dict_data=shared).stream_reader(io.BytesIO(content[at:]), read_across_frames=True)
+        shared = zstandard.ZstdCompressionDict(bytes(view[8:at]))
+    opened = zstandard.ZstdDecompressor(dict_data=shared).stream_reader(view[at:], read_across_frames=True)
     stream = io.BufferedReader(opened, 1 << 16)
     while stream.readline():
         fields = {}
@@ -138,7 +141,7 @@ def read(archives: DataFrame, content: str = "content") -> DataFrame:
     names = ["record_key", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
     kinds = pa.schema([(n, pa.int64() if n == "payload_bytes" else pa.binary() if n == "payload" else pa.string()) for n in names])
 
-    def rows(content: bytes) -> Iterator[tuple]:
+    def rows(content: memoryview) -> Iterator[tuple]:
         for fields, block in unpack(content):
             kind = fields["warc-type"]
             if kind not in ("response", "revisit"):
@@ -154,10 +157,9 @@ def read(archives: DataFrame, content: str = "content") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                found = batch.column(0)[i].as_py()
+            for found in batch.column(0):
                 held, size = [], 0
-                for row in rows(found) if found else ():
+                for row in rows(memoryview(found.as_buffer())) if found.is_valid and found.as_buffer().size else ():
                     held.append(row)
                     size += row[4]
                     if size >= 4 << 20:

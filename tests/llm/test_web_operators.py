@@ -1,6 +1,8 @@
 """URL rules and trees, WARC archives."""
 
 import hashlib
+import random
+import tracemalloc
 
 import pytest
 
@@ -112,6 +114,29 @@ def test_archive_files_start_with_their_dictionary():
     assert len(content) < sum(len(zstandard.compress(r)) for r in records)
 
 
+def test_an_archive_is_read_where_it_lies():
+    """Unpacking many archives holds a record at a time, whatever their number and size."""
+    noise = random.Random(1).randbytes
+    files = [warc.pack([warc.record(str(i), None, warc.DATE, noise(20_000), 1, "d", None) for i in range(200)], "a") for _ in range(4)]
+    assert all(len(f) > 3_900_000 for f in files)
+    tracemalloc.start()
+    read = sum(1 for f in files * 5 for _ in warc.unpack(memoryview(f)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert read == 20 * 201 and peak < 1_000_000
+
+
+def test_many_archives_in_one_file(spark, monkeypatch, tmp_path):
+    """A task that writes and reads forty archives: none of them exceeds its bound, all records come back."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1 << 20)
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('http://h/', id) AS url", "repeat(sha2(string(id), 512), 800) || sha2(string(id + 1), 512) AS html").coalesce(1)
+    archives = warc.write(pages)
+    archives.coalesce(1).write.parquet(str(tmp_path / "archives"))
+    stored = spark.read.parquet(str(tmp_path / "archives"))
+    assert stored.count() >= 35 and stored.selectExpr("max(records) AS n").first().n <= 12
+    assert warc.read(stored).selectExpr("count(DISTINCT record_key) AS n", "sum(payload_bytes) AS b").first() == (400, 400 * 128 * 801)
+
+
 @pytest.mark.parametrize("n", [1, 2])
 def test_too_few_records_to_train_on(n):
     records = [warc.record("1", None, warc.DATE, b"x", 1, "d", None)] * n

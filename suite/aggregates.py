@@ -196,4 +196,25 @@ FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders FROM
 )
 def order_growth(spark, sf):
     yearly = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("orders"))
-    return ranking.growth(ranking.running_total(yearly, "year", "orders", "running_orders"), "year", "orders", "growth_pct")
+    return ranking.growth(ranking.running_total(yearly, "year", "orders", "running_orders", bounded=True), "year", "orders", "growth_pct", bounded=True)
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(sum(l_linenumber) OVER (ORDER BY l_shipdate) AS BIGINT) AS lines_so_far FROM lineitem")
+def running_lines(spark, sf):
+    """A running total over every line, in slices of the ship dates."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    return ranking.running_total(lines, "l_shipdate", "l_linenumber", "lines_so_far").select("l_orderkey", "l_linenumber", "lines_so_far")
+
+
+SPEND = "SELECT user_id, event_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
+
+
+@query(
+    f"""
+SELECT event_id, {rounded("CASE WHEN before <> 0 THEN (k - before)::DOUBLE * 100.0 / before::DOUBLE END", 2)} AS growth_pct
+FROM (SELECT event_id, k, coalesce(lag(k) OVER (ORDER BY ts, k), k) AS before FROM ({SPEND}))"""
+)
+def event_growth(spark, sf):
+    """Change from event to event over the whole stream, in slices of the timestamps."""
+    events = table(spark, sf, "events").select("event_id", "ts", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    return ranking.growth(events, "ts", "k", "growth_pct").select("event_id", "growth_pct")

@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions.ratios import round_to
-from terrace.operators.stats import standardize
+from terrace.operators.stats import standardize, zscore_outliers
 from terrace.sources.sinks import stage
 
 CONTAMINATION = 0.15
+MIN_COMPLETE = 5
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
 
 
@@ -157,3 +158,21 @@ def describe_outliers(outliers: DataFrame, name: str = "country_name") -> DataFr
             F.col("avg_movie_duration").cast("string"), F.lit(" min)"),
         ).alias("reason"),
     )
+
+
+def detect_outliers(
+    df: DataFrame, name: str, features: Sequence[str], contamination: float = CONTAMINATION, volume: str = "titles_count", **forest
+) -> DataFrame:
+    """M4 with M3: unusual profiles by isolation forest, or unusual volumes where fewer than five rows have all features.
+
+    ``name``, the volume, ``movie_ratio_pct`` and ``avg_duration`` (NULL for volumes), ``z_score`` (NULL for profiles), ``reason``.
+    The z-scores are taken over all rows with a volume, complete or not.
+    """
+    ratio, length = F.col("movie_ratio_pct"), F.col("avg_duration")
+    if df.dropna(subset=list(features)).limit(MIN_COMPLETE).count() < MIN_COMPLETE:
+        found = zscore_outliers(df.filter(F.col(volume).isNotNull()), name, volume)
+        none = F.lit(None).cast("double")
+        return found.select(F.col(name).alias("name"), volume, none.alias("movie_ratio_pct"), none.alias("avg_duration"), "z_score", "reason")
+    found = describe_outliers(isolation_outliers(df, name, features, contamination, **forest), name)
+    kinds = (ratio.cast("double").alias("movie_ratio_pct"), length.cast("double").alias("avg_duration"))
+    return found.select("name", volume, *kinds, F.lit(None).cast("double").alias("z_score"), "reason")

@@ -50,16 +50,60 @@ def global_rank(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     )
 
 
-def running_total(df: DataFrame, order: str, measure: str, out: str) -> DataFrame:
-    """Running sum over already aggregated periods (one row per period)."""
-    return df.withColumn(out, F.sum(measure).over(Window.orderBy(order)))
+def _sliced(df: DataFrame, order: str, measure: str) -> tuple[DataFrame, DataFrame]:
+    """The frame in range-partitioned slices, written once, and what each slice takes over from those before it.
 
+    Equal order values lie in one slice. Per slice, and so as many as there are shuffle partitions, the sum before it and the
+    last measure before it (of equal order values the greatest measure is last) are put together on the driver.
+    """
+    spark = df.sparkSession
+    path = f"{workspace(spark)}/sliced-{uuid.uuid4().hex}"
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(slices, order).withColumn("_slice", F.spark_partition_id()).write.parquet(path)
+    stored = spark.read.parquet(path)
+    per_slice = stored.groupBy("_slice").agg(F.sum(measure).alias("_sum"), F.max(F.struct(order, measure))[measure].alias("_last"))
+    rows, before, last = sorted(per_slice.collect()), None, None
+    taken = []
+    for row in rows:
+        taken.append((row["_slice"], before, last))
+        before = row["_sum"] if before is None else before if row["_sum"] is None else before + row["_sum"]
+        last = row["_last"]
+    types = {c: per_slice.schema[c].dataType.simpleString() for c in ("_sum", "_last")}
+    return stored, spark.createDataFrame(taken, f"_slice int, _before {types['_sum']}, _carried {types['_last']}")
+
+
+def running_total(df: DataFrame, order: str, measure: str, out: str, bounded: bool = False) -> DataFrame:
+    """Sum of the measure over all rows up to each row's ``order`` value; equal values share their total.
+
+    Slices of the order are summed apart and take over the sum before them, so no task sees all rows. With ``bounded`` the caller
+    vouches for few rows, such as one per year, and one window does.
+    """
+    if bounded:
+        return df.withColumn(out, F.sum(measure).over(Window.orderBy(order)))
+    stored, taken = _sliced(df, order, measure)
+    own = F.sum(measure).over(Window.partitionBy("_slice").orderBy(order))
+    joined = stored.withColumn("_own", own).join(F.broadcast(taken), "_slice")
+    return joined.select(*df.columns, F.coalesce(F.col("_own") + F.col("_before"), "_own", "_before").alias(out))
 
-def growth(df: DataFrame, order: str, measure: str, out: str, digits: int = 2) -> DataFrame:
-    """Change against the previous period in percent; the first period is 0."""
+
+def growth(df: DataFrame, order: str, measure: str, out: str, digits: int = 2, bounded: bool = False) -> DataFrame:
+    """Change against the previous row in percent; the first row is 0. Rows of equal order value follow by their measure.
+
+    Slices of the order take over the last measure before them, so no task sees all rows; ``bounded`` as for W3.
+    """
     current = F.col(measure).cast("double")
-    previous = F.coalesce(F.lag(measure).over(Window.orderBy(order)).cast("double"), current)
-    return df.withColumn(out, round_to(F.try_divide((current - previous) * 100.0, previous), digits))
+
+    def change(before: Column) -> Column:
+        previous = F.coalesce(before.cast("double"), current)
+        return round_to(F.try_divide((current - previous) * 100.0, previous), digits)
+
+    if bounded:
+        return df.withColumn(out, change(F.lag(measure).over(Window.orderBy(order, measure))))
+    stored, taken = _sliced(df, order, measure)
+    within = Window.partitionBy("_slice").orderBy(order, measure)
+    placed = stored.withColumns({"_first": F.row_number().over(within) == 1, "_lag": F.lag(measure).over(within)})
+    joined = placed.join(F.broadcast(taken), "_slice")
+    return joined.select(*df.columns, change(F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag"))).alias(out))
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

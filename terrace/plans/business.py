@@ -69,8 +69,8 @@ def director_rankings(titles: DataFrame, directors: DataFrame) -> DataFrame:
 def yearly_releases(titles: DataFrame) -> DataFrame:
     """Releases per year with running total and growth. The windows see one row per year."""
     yearly = rollups.count_by(titles, ["release_year"], "yearly_releases")
-    running = ranking.running_total(yearly, "release_year", "yearly_releases", "running_total_releases")
-    return ranking.growth(running, "release_year", "yearly_releases", "yearly_growth_pct")
+    running = ranking.running_total(yearly, "release_year", "yearly_releases", "running_total_releases", bounded=True)
+    return ranking.growth(running, "release_year", "yearly_releases", "yearly_growth_pct", bounded=True)
 
 
 def transforms(titles: DataFrame, bridges: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

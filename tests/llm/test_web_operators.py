@@ -75,6 +75,32 @@ def test_trees_learn_a_lexical_rule(spark):
     assert len(judged) == 200 and sum((r.verdict == "allow") == (r.page_id % 2 == 1) for r in judged) > 190
 
 
+def test_labels_of_held_out_hosts_are_told_apart(spark):
+    """Trees fitted on other hosts rank the labelled URLs of held-out hosts, and judge the URLs without a rule both ways."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    assert urls.held_out_auc(pages, RULES) > 0.9
+    judged = urls.judge(pages, RULES).where("rule IS NULL").groupBy("verdict").count().collect()
+    assert {r.verdict for r in judged} == {"allow", "block"}
+    assert urls.held_out_auc(pages.limit(0), RULES) is None
+
+
+def test_a_label_does_not_reach_its_own_statistics(spark):
+    """Turning the label of one host's URLs leaves their own suffix statistics as they are, but moves those of other hosts."""
+    hosts = [f"h{i}.one.org" for i in range(12)]
+    pages = spark.createDataFrame([(i, f"http://{h}/a") for i, h in enumerate(hosts)], "page_id long, url string")
+
+    def shares(turned):
+        rules = [(f"{h}/", "block" if (i % 2 == 0) != (i in turned) else "allow") for i, h in enumerate(hosts)]
+        rows, _, _ = urls._labelled(pages, rules, "page_id", "url")
+        return {r.k: (r.fold, round(r.suffix_blocked, 9), round(r.head_blocked, 9)) for r in rows.collect()}
+
+    before = shares(())
+    same = next(i for i in range(12) for j in range(12) if i < j and before[i][0] == before[j][0] and i % 2 != j % 2)
+    pair = next(j for j in range(12) if j > same and before[j][0] == before[same][0] and j % 2 != same % 2)
+    after = shares((same, pair))  # as many of both kinds as before
+    assert after == before
+
+
 PAGES = [
     (3, "http://a/", "x" * 100), (1, "http://b/", "x" * 100), (2, "http://c/", "x" * 99), (4, "http://d/", "x" * 99), (5, None, None), (6, "http://e/\r\nX: y", ""),
     (7, "http://f/", "é" * 200_000), (8, "http://g/", "é" * 200_000), (9, "http://h/", "\r\n\r\nWARC/1.1\r\n" * 20), (1, "http://b/", "x" * 100), (None, "http://i/", "x" * 100),

@@ -212,3 +212,86 @@ def test_every_notice_of_the_corpus_is_found(spark):
         for name, mark in wanted.items():
             if mark in text:
                 assert (found[i].license, found[i].origin) == (name, "notice")
+
+
+def test_risk_gradient_equals_the_formula():
+    """A few steps of the fit against steps along the numeric gradient of the unbiased risk, written out."""
+    rng = np.random.default_rng(3)
+    positive, unlabelled, prior, decay, rate = rng.normal(1, 1, (30, 2)), rng.normal(-0.2, 1, (50, 2)), 0.3, 2e-4, 0.03
+    model = quality.fit(positive, unlabelled, prior, rounds=4, rate=rate, decay=decay)
+    edges = np.quantile(np.vstack([positive, unlabelled]), np.linspace(0, 1, quality.BINS + 1)[1:-1], axis=0).T
+    assert np.allclose(edges, model.edges)
+    place = [np.stack([np.searchsorted(edges[j], x[:, j]) + j * quality.BINS for j in range(2)], 1) for x in (positive, unlabelled)]
+    loss = lambda z: np.logaddexp(0, -z)  # noqa: E731  of calling a row with this logit good
+
+    def risk(theta):
+        gp, gu = (theta[p].sum(axis=1) + theta[-1] for p in place)
+        negative = loss(-gu).mean() - prior * loss(-gp).mean()
+        assert negative > 0
+        return prior * loss(gp).mean() + negative + decay / 2 * (theta[:-1] ** 2).sum()
+
+    theta, m, v = np.zeros(2 * quality.BINS + 1), 0, 0
+    theta[-1] = np.log(prior / (1 - prior))
+    for step in range(1, 5):
+        grad = np.array([(risk(theta + e) - risk(theta - e)) / 2e-6 for e in np.eye(len(theta)) * 1e-6])
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    used = np.unique(np.concatenate([p.ravel() for p in place]))
+    assert np.allclose(model.weights.ravel()[used], theta[used], atol=1e-3) and model.bias == pytest.approx(theta[-1], abs=1e-4)
+
+
+def test_language_scores_equal_plain_cosines(spark):
+    """Prototypes summed and cosines taken trigram by trigram, over a few documents in two languages."""
+    rows = [(1, "le chat dort ici", "fr"), (2, "the cat sleeps", "en"), (3, "un chien noir!", "fr"), (4, "a black dog", "en"), (5, "der Hund", None), (6, "chat cat", None)]
+
+    def plain(text):
+        letters, total = [], np.zeros(langid.DIMENSIONS)
+        for c in f" {text.lower()} ":
+            code = ord(c) if c.isalpha() else 0
+            if code or not letters or letters[-1]:
+                letters.append(code)
+        for a, b, c in zip(letters, letters[1:], letters[2:], strict=False):
+            total += np.roll(langid._symbol(a), 2).astype(int) * np.roll(langid._symbol(b), 1) * langid._symbol(c)
+        return total
+
+    sums = {lang: sum(plain(t) for _, t, k in rows if k == lang) for lang in ("en", "fr")}
+    docs = frame(spark, rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, langid.train(docs)).collect()}
+    for i, text, _ in rows:
+        own = plain(text)
+        cosine = {k: own @ s / np.linalg.norm(own) / np.linalg.norm(s) for k, s in sums.items()}
+        best = max(sorted(cosine), key=cosine.get)
+        assert found[i] == (best, pytest.approx(max(cosine[best], 0.0), abs=1e-9))
+
+
+def test_licence_scores_equal_plain_cosines(spark):
+    """TF-IDF cosines word by word: of each line with each notice, and of the whole text with notices and texts."""
+    from collections import Counter
+    from math import log, sqrt
+    from zlib import crc32
+
+    notices, texts = {"A": ["released under the alpha licence", "alpha alpha licence"], "B": ["beta terms apply"]}, {"C": ["gamma terms apply here to all of the text"]}
+    rows = [(1, "Released under the ALPHA licence\nnothing else"), (2, "beta terms apply\nalpha licence alpha"), (3, "gamma terms apply\nhere to all of the text"), (4, None), (5, "nothing " * 400), (6, "")]
+    docs = frame(spark, rows)
+    vector = lambda line: Counter(crc32(w.lower().encode()) % licences.BUCKETS for w in licences.WORD(line))
+    lines = {i: [x for x in (t or "").splitlines() if licences.WORD(x)] for i, t in rows}
+    seen, total = Counter(), sum(map(len, lines.values()))
+    for own in lines.values():
+        for line in own:
+            seen.update(set(vector(line)))
+    idf = lambda b: log((1 + total) / (1 + seen[b])) + 1
+
+    def cosine(a, b):
+        a, b = ({k: n * idf(k) for k, n in vector(x).items()} for x in (a, b))
+        return sum(a[k] * b.get(k, 0) for k in a) / sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    def first(found):
+        """The highest score; of equal ones the smaller name."""
+        return min(found, key=lambda x: (-round(x[0], 6), x[1]), default=(0.0, None))
+
+    for r in licences.scan(docs, notices, texts=texts).collect():
+        best = first((cosine(x, t), n) for x in lines[r.doc_id] for n, ts in notices.items() for t in ts)
+        assert r["_notice_score"] == pytest.approx(min(best[0], 1), abs=1e-5) and r["_notice"] == (best[1] if best[0] >= licences.LEAST else None)
+        whole = " ".join(lines[r.doc_id])
+        file = first((cosine(whole, t), n) for d in (notices, texts) for n, ts in d.items() for t in ts) if whole else (0.0, None)
+        assert r["_file_score"] == pytest.approx(min(file[0], 1), abs=1e-5) and r["_file"] == (file[1] if file[0] >= licences.LEAST else None)

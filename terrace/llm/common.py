@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,9 +29,27 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{workspace(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete what is staged inside the block when it ends; paths that are taken from the list stay."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield paths
+    finally:
+        _staged.reset(token)
+        for path in paths:
+            discard(spark, path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)
+    if (paths := _staged.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -310,3 +310,11 @@ def test_near_copies_of_the_corpus_are_found(spark):
         prints[i] = [simhash.fingerprint(text[i], *s) for s in corpus_pipeline.SHINGLES]
     linked = sum(any((x ^ y).bit_count() <= 4 for x, y in zip(prints[a], prints[b], strict=True)) for a, b in near)
     assert len(near) > 100 and linked / len(near) > 0.85
+
+
+def test_a_pipeline_run_leaves_its_result_only(spark, monkeypatch, tmp_path):
+    from terrace.llm import common
+
+    monkeypatch.setattr(common, "workspace", lambda spark: str(tmp_path))
+    found = corpus_pipeline.run(spark, SF)
+    assert found.count() > 0 and [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["pipeline-4"]

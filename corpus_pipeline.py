@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import bpe, decontaminate, quality, simhash, suffixes
-from terrace.llm.common import stage, table, unused
+from terrace.llm.common import freeing, stage, table, unused
 from terrace.llm.queries import quality_model, tokenizer
 
 # Shingle widths and hash seeds of the fingerprints that link near-duplicates: each one misses near copies by chance, and the
@@ -67,8 +67,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder before the next one reads it."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written to the shared folder before the next one reads it.
+
+    What a stage staged on its way, and the corpus that the stage before it left, are deleted when it is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (_, apply) in enumerate(STAGES):
-        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{i}")
+        with freeing(spark) as paths:
+            docs = stage(apply(spark, docs, sf_dir), f"pipeline-{i}")
+            kept = paths.pop()  # the last one written
+            if before is not None:
+                paths.append(before)
+            before = kept
     return docs

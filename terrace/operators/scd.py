@@ -27,6 +27,7 @@ HIGH_DATE = date(9999, 12, 31)
 # Merge order for a source known to hold one row per key.
 UNIQUE = ("unique",)
 
+# The columns of a version.
 VERSION_COLUMNS = [
     "effective_start_date",
     "effective_end_date",

@@ -29,6 +29,7 @@ def stamp_audit(
 ) -> DataFrame:
     """Add the seven audit columns. ``source_file=None`` records each row's own input file."""
     stamp = F.lit(now).cast("timestamp")
+    # The names of the audit columns.
     return df.withColumns(
         {
             "batch_id": F.lit(batch_id),

@@ -140,6 +140,9 @@ def test_stream_of_files_equals_one_batch(spark, tmp_path):
     raw_frame(spark, [_record("s9", "New")], datetime(2026, 7, 30)).coalesce(1).write.mode("append").parquet(bronze)
     assert _stream(spark, tmp_path, layout, bronze).count() == before + 1
     assert layout.lake(spark).snapshot().state == {"stream files": 3}
+    steps = spark.read.parquet(layout.metadata("pipeline_steps"))
+    assert {r.pipeline_run_id for r in steps.collect()} == {f"files-{n}" for n in range(4)}
+    assert layout.lake(spark).versions() == [3, 4]  # older versions are vacuumed
 
 
 def test_a_stream_quarantines_and_judges(spark, tmp_path):

@@ -3,13 +3,16 @@
 Trusted positives are documents labelled good; everything else is unlabelled web text. The model minimises the
 non-negative unbiased risk  prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))  with the logistic loss, where the class prior
 is estimated from the labelled rows.
+
+The risk of the unlabelled part is taken over every document: rounds on a drawn sample follow its gradient, corrected at a few
+places by the loss and gradient over all rows, which executors sum up from the rows' bins.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import text_runs, with_text_columns
+from terrace.llm.common import stage, text_runs, with_text_columns
 
-SAMPLE = 20_000  # positives, and as many unlabelled rows, that the model is fitted on
+SAMPLE = 20_000  # positives that teach, and unlabelled rows on which the rounds between two passes over all rows are made
+PASSES = 4  # over all unlabelled rows
+UNIT = 1 << 20  # sums over all rows are of whole multiples of 1 / UNIT, so that they are the same however rows are dealt
 CHARACTERS = 128  # hash buckets of character frequencies
 BINS = 10  # quantile bins of each measure
 THRESHOLD = 0.3
@@ -74,33 +79,60 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(x), -40, 40)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 600, rate: float = 0.03, decay: float = 2e-4) -> Model:
-    """Minimise the non-negative risk by full-batch Adam over one-hot quantile bins."""
-    everything = np.vstack([positive, unlabelled])
-    width = everything.shape[1]
-    edges = np.stack([np.quantile(everything[:, j], np.linspace(0, 1, BINS + 1)[1:-1]) for j in range(width)])
-    place = np.empty(everything.shape, np.int32)
-    for j in range(width):
-        place[:, j] = np.searchsorted(edges[j], everything[:, j]) + j * BINS
-    del everything
-    n, slots = len(positive), width * BINS
+Whole = Callable[[np.ndarray, float], tuple[float, np.ndarray, float]]
+
+
+def cut_points(measured: np.ndarray) -> np.ndarray:
+    """Inner quantiles of each measure: measures x (BINS - 1)."""
+    return np.stack([np.quantile(x, np.linspace(0, 1, BINS + 1)[1:-1]) for x in measured.T])
+
+
+def bins(edges: np.ndarray, measured: np.ndarray) -> np.ndarray:
+    """The bin of every measure of every row, a byte each."""
+    out = np.empty(measured.shape, np.uint8)
+    for j, cuts in enumerate(edges):
+        out[:, j] = np.searchsorted(cuts, measured[:, j])
+    return out
+
+
+def fit(
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 600, rate: float = 0.03, decay: float = 2e-4,
+    edges: np.ndarray | None = None, whole: Whole | None = None,
+) -> Model:
+    """Minimise the non-negative risk by full-batch Adam over one-hot quantile bins.
+
+    ``whole`` gives, at weights and bias, the mean loss of calling all unlabelled rows good and its gradient. It is asked
+    ``PASSES`` times in the second half of the rounds; from there on ``unlabelled`` only tells how that gradient changes.
+    """
+    edges = cut_points(np.vstack([positive, unlabelled])) if edges is None else edges
+    width, n = len(edges), len(positive)
+    place = np.concatenate([bins(edges, positive), bins(edges, unlabelled)]) + np.arange(width, dtype=np.int32) * BINS
+    slots = width * BINS
     w, bias = np.zeros(slots), float(np.log(prior / (1 - prior)))
     first, second, fb, sb = np.zeros(slots), np.zeros(slots), 0.0, 0.0
     flat = place.ravel()
+    passes = {rounds // 2 + i * (rounds // 2) // PASSES + 1 for i in range(PASSES)} if whole else set()
+    shift, shift_bias, level = np.zeros(slots), 0.0, 0.0  # from the drawn rows to all of them
     for step in range(1, rounds + 1):
         g = w[place].sum(axis=1) + bias
         p = 1 / (1 + np.exp(-np.clip(g, -40, 40)))
         loss_minus = np.logaddexp(0, g)
+        if step in passes:
+            loss, slope, slope_bias = whole(w, bias)
+            shift = slope - np.bincount(flat[n * width :], np.repeat(p[n:], width), slots) / (len(g) - n)
+            shift_bias = slope_bias - p[n:].mean()
+            level = loss - loss_minus[n:].mean() - shift @ w - shift_bias * bias
         pull = np.zeros(len(g))
-        negative_risk = loss_minus[n:].mean() - prior * loss_minus[:n].mean()
+        negative_risk = loss_minus[n:].mean() + level + shift @ w + shift_bias * bias - prior * loss_minus[:n].mean()
         if negative_risk >= 0:
+            sign = 1
             pull[:n] = prior * (p[:n] - 1 - p[:n]) / n
-            pull[n:] = p[n:] / (len(g) - n)
         else:  # the estimate went below zero: step back from over-fitting
+            sign = -1
             pull[:n] = prior * p[:n] / n
-            pull[n:] = -p[n:] / (len(g) - n)
-        grad = np.bincount(flat, np.repeat(pull, width), slots) + decay * w
-        gb = pull.sum()
+        pull[n:] = sign * p[n:] / (len(g) - n)
+        grad = np.bincount(flat, np.repeat(pull, width), slots) + sign * shift + decay * w
+        gb = pull.sum() + sign * shift_bias
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         fb, sb = 0.9 * fb + 0.1 * gb, 0.999 * sb + 0.001 * gb**2
         fix1, fix2 = 1 - 0.9**step, 1 - 0.999**step
@@ -109,6 +141,47 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
     return Model(edges, w.reshape(width, BINS), bias, prior)
 
 
+def binned(docs: DataFrame, edges: np.ndarray, text: str = "text") -> DataFrame:
+    """``b``: the bins of every row's whole text, a byte each."""
+    shipped = docs.sparkSession.sparkContext.broadcast(edges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in text_runs(batches, "t"):
+            rows = bins(shipped.value, np.stack([measures(t) for t in texts]))
+            yield pa.record_batch([pa.array([r.tobytes() for r in rows], pa.binary())], names=["b"])
+
+    return docs.select(F.col(text).alias("t")).mapInArrow(run, "b binary")
+
+
+def whole_loss(rows: DataFrame, width: int) -> Whole:
+    """Mean loss of calling the rows of ``binned`` good, and its gradient, in one pass that sums within tasks first."""
+    slots = width * BINS
+
+    def whole(w: np.ndarray, bias: float) -> tuple[float, np.ndarray, float]:
+        shipped = rows.sparkSession.sparkContext.broadcast((w, bias))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            w, bias = shipped.value
+            total = np.zeros(slots + 3, np.int64)
+            for batch in batches:
+                for start in range(0, len(batch), 4096):
+                    raw = b"".join(batch.column(0).slice(start, 4096).to_pylist())
+                    place = np.frombuffer(raw, np.uint8).reshape(-1, width) + np.arange(width, dtype=np.int32) * BINS
+                    g = w[place].sum(axis=1) + bias
+                    p = np.rint(UNIT / (1 + np.exp(-np.clip(g, -40, 40))))
+                    total[:slots] += np.bincount(place.ravel(), np.repeat(p, width), slots).astype(np.int64)
+                    total[slots:] += [int(p.sum()), int(np.rint(np.logaddexp(0, g) * UNIT).sum()), len(g)]
+            yield pa.record_batch([pa.array(np.arange(slots + 3)), pa.array(total)], names=["slot", "value"])
+
+        sums = dict(rows.mapInArrow(run, "slot bigint, value bigint").groupBy("slot").agg(F.sum("value")).collect())
+        shipped.unpersist()
+        total = np.array([sums[i] for i in range(slots + 3)], float)
+        mean = total / (total[-1] * UNIT)
+        return float(mean[slots + 1]), mean[:slots], float(mean[slots])
+
+    return whole
+
+
 def _measured(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_runs(batches, "t"):
@@ -129,10 +202,11 @@ def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
     label_key: str = "doc_id", sample: int = SAMPLE,
 ) -> Model | None:
-    """Fit on about ``sample`` trusted positives and ``sample`` unlabelled documents, drawn by hash of the key.
+    """Fit on about ``sample`` trusted positives, drawn by hash of the key, and all documents as unlabelled rows.
 
-    ``docs`` and ``labels`` hold the rows that may teach. A document with conflicting labels counts as not good; rows with a
-    NULL key or label teach nothing. The prior is the share of good among all labelled keys, with a positive and a negative
+    Bins, and the rounds between the passes over all documents, come from about ``sample`` of them, drawn likewise. ``docs``
+    and ``labels`` hold the rows that may teach; each row of ``docs`` is one unlabelled document. A document with conflicting
+    labels counts as not good; rows with a NULL key or label teach nothing. The prior is the share of good among all labelled keys, with a positive and a negative
     added. None where there is no positive or no unlabelled document.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(label_key).isNotNull()).groupBy(F.col(label_key).alias("k")).agg(F.min(label).alias("good"))
@@ -152,7 +226,9 @@ def train(
     unlabelled = rows(_drawn(ids, n, sample, 2))
     if not len(positive) or not len(unlabelled):
         return None
-    return fit(positive, unlabelled, (int(good) + 1) / (total + 2))
+    edges = cut_points(np.vstack([positive, unlabelled]))
+    everything = stage(binned(docs.where(F.col(key).isNotNull()), edges, text), "quality-bins")
+    return fit(positive, unlabelled, (int(good) + 1) / (total + 2), edges=edges, whole=whole_loss(everything, len(edges)))
 
 
 def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:

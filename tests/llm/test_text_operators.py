@@ -240,6 +240,44 @@ def test_risk_gradient_equals_the_formula():
     assert np.allclose(model.weights.ravel()[used], theta[used], atol=1e-3) and model.bias == pytest.approx(theta[-1], abs=1e-4)
 
 
+def test_loss_over_all_rows_equals_the_formula(spark):
+    rng = np.random.default_rng(5)
+    texts = [None, ""] + [" ".join(rng.choice(["alpha", "Beta.", "12", "x\n"], rng.integers(1, 60))) for _ in range(300)]
+    measured = np.stack([quality.measures(t) for t in texts])
+    edges = quality.cut_points(measured)
+    w, bias = rng.normal(size=edges.shape[0] * quality.BINS), -0.4
+    place = np.stack([np.searchsorted(edges[j], measured[:, j]) + j * quality.BINS for j in range(len(edges))], 1)
+    g = w[place].sum(axis=1) + bias
+    p = 1 / (1 + np.exp(-g))
+    slope = sum(np.bincount(row, np.full(len(row), q), len(w)) for row, q in zip(place, p, strict=True)) / len(p)
+    docs = frame(spark, list(enumerate(texts)))
+    found = [quality.whole_loss(quality.binned(docs.repartition(parts), edges), len(edges))(w, bias) for parts in (1, 7)]
+    assert np.isclose(found[0][0], np.logaddexp(0, g).mean(), atol=1e-5) and np.isclose(found[0][2], p.mean(), atol=1e-5)
+    assert np.allclose(found[0][1], slope, atol=1e-5)
+    assert found[0][0] == found[1][0] and (found[0][1] == found[1][1]).all() and found[0][2] == found[1][2]
+
+
+def test_the_fit_follows_the_risk_over_all_rows():
+    """The drawn rows are unlike the whole: only the passes over all rows bring the whole risk down."""
+    rng = np.random.default_rng(6)
+    positive, everything, prior = rng.normal(1, 1, (300, 3)), np.vstack([rng.normal(1, 1, (1200, 3)), rng.normal(-1, 1, (2800, 3))]), 0.3
+    drawn = np.vstack([everything[:250], everything[-150:]])
+    edges = quality.cut_points(np.vstack([positive, drawn]))
+    place = quality.bins(edges, everything) + np.arange(3) * quality.BINS
+
+    def whole(w, bias):
+        g = w[place].sum(axis=1) + bias
+        p = 1 / (1 + np.exp(-g))
+        return np.logaddexp(0, g).mean(), np.bincount(place.ravel(), np.repeat(p, 3), len(w)) / len(p), p.mean()
+
+    def risk(model):
+        gp, gu = model.logits(positive), model.logits(everything)
+        return prior * np.logaddexp(0, -gp).mean() + max(0, np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean())
+
+    best = risk(quality.fit(positive, everything, prior, edges=edges))
+    assert abs(risk(quality.fit(positive, drawn, prior, edges=edges, whole=whole)) - best) < 0.2 * (risk(quality.fit(positive, drawn, prior, edges=edges)) - best)
+
+
 def test_language_scores_equal_plain_cosines(spark):
     """Prototypes summed and cosines taken trigram by trigram, over a few documents in two languages."""
     rows = [(1, "le chat dort ici", "fr"), (2, "the cat sleeps", "en"), (3, "un chien noir!", "fr"), (4, "a black dog", "en"), (5, "der Hund", None), (6, "chat cat", None)]

@@ -1,7 +1,9 @@
 """Approximate nearest neighbours: one hierarchical navigable small-world graph per shard, results merged.
 
 Vectors are dealt over shards by hash. Each shard's graph is built in its task and stored as flat neighbour arrays, a row per
-shard. Every query visits every shard, in blocks of queries; the shard results are scored again exactly and merged.
+shard. Every query visits every shard: a task takes a block of queries and as many shards as its memory holds, so a query
+crosses the wire once per group of shards and a shard once per block, both bounded by bytes. Finds are scored again exactly
+and merged, within the task first.
 Inner product is made a metric by one more component that gives all vectors of a shard the same length.
 """
 
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 from terrace.llm.common import broadcast_if_small, stage
 
 SHARD = 8192  # vectors per shard aimed at
-BLOCK = 2048  # queries per block aimed at
+BLOCK_BYTES = 16 << 20  # of query vectors per block aimed at
+GROUP_BYTES = 64 << 20  # of vectors of the shards that one task walks through, aimed at
 DEGREE = 16  # neighbours per node; twice as many on the ground layer
 BUILD_WIDTH = 64
 SEARCH_WIDTH = 96
@@ -211,39 +214,45 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, key: str = "vec
     dimensions are compared. Rows that repeat id and vector count once; fewer candidates give fewer rows.
     """
     rows = stage(usable(vectors, key, vector), "vectors")
-    count = rows.count()
-    stored = stage(index(rows, count, k, shard), "graphs")
-    shards = stored.select(F.col("dims").alias("to_dims"), F.col("shard").alias("to_shard"))
+    count, dims = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    shards = max(-(-count // shard), 1)
+    groups = max(-(-shards * shard * dims * 8 // GROUP_BYTES), rows.sparkSession.sparkContext.defaultParallelism)
+    group = F.pmod("shard", F.lit(min(groups, shards)))
+    stored = stage(index(rows, count, k, shard), "graphs").withColumn("group", group)
     asked = usable(queries, key, vector).groupBy("id", "v").agg(F.size("v").alias("dims"))
-    blocks = max(-(-asked.count() // BLOCK), 1)
+    blocks = max(-(-asked.count() * dims * 8 // BLOCK_BYTES), 1)
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    shards = broadcast_if_small(shards, 64 * -(-count // shard))
-    sent = asked.join(shards, F.col("dims") == F.col("to_dims"))
+    places = stored.select(F.col("dims").alias("to_dims"), F.col("group").alias("to_group")).distinct()
+    sent = asked.join(broadcast_if_small(places, 64 * places.count()), F.col("dims") == F.col("to_dims"))
     copies = stored.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def search(sent: pa.Table, stored: pa.Table) -> pa.Table:
         if not len(sent) or not len(stored):
             return kinds.empty_table()
-        ids = stored.column("ids")[0].as_py()
-        points = np.frombuffer(stored.column("vectors")[0].as_py()).reshape(len(ids), -1)
-        graph = Graph.stored(points, stored.column("layers")[0].as_py())
+        graphs = []
+        for ids, raw, layers in zip(*(stored.column(c).to_pylist() for c in ("ids", "vectors", "layers")), strict=True):
+            points = np.frombuffer(raw).reshape(len(ids), -1)
+            graphs.append((ids, points, Graph.stored(points, layers)))
         own = np.array(sent.column("id"))
         asked, same = np.unique(np.array(sent.column("v").combine_chunks().flatten()).reshape(len(own), -1), axis=0, return_inverse=True)
-        nodes = np.concatenate([graph.search(asked[i : i + 512], width) for i in range(0, len(asked), 512)])[:, : max(width, k + 1)]
-        scores = np.einsum("qcd,qd->qc", points[nodes], asked) if len(asked) * nodes.shape[1] < 1 << 18 else np.concatenate([np.einsum("cd,d->c", points[x], q)[None] for x, q in zip(nodes, asked, strict=True)])
-        scores[nodes < 0] = -np.inf
-        out: list[tuple] = []
-        lists: list[list[tuple]] = []
-        for x, s in zip(nodes.tolist(), scores.tolist(), strict=True):
-            best = sorted((-v, i) for v, n in zip(s, x, strict=True) if n >= 0 for i in ids[n])
-            lists.append(best[: k + 1])
-        for q, which in zip(own.tolist(), same.ravel().tolist(), strict=True):
-            out += [(q, i, -v) for v, i in lists[which] if i != q][:k]
-        if not out:
-            return kinds.empty_table()
-        return pa.table([list(c) for c in zip(*out, strict=True)], schema=kinds)
+        askers = np.split(own[np.argsort(same.ravel(), kind="stable")], np.cumsum(np.bincount(same.ravel()))[:-1])
+        out = []
+        for start in range(0, len(asked), 512):
+            part = asked[start : start + 512]
+            near: list[list[tuple]] = [[] for _ in part]
+            for ids, points, graph in graphs:
+                for best, q, nodes in zip(near, part, graph.search(part, max(width, k + 1)), strict=True):
+                    nodes = nodes[nodes >= 0]
+                    scores = np.einsum("cd,d->c", points[nodes], q)
+                    best += [(-v, i) for v, n in zip(scores.tolist(), nodes.tolist(), strict=True) for i in ids[n]]
+                    best.sort()
+                    del best[k + 1 :]
+            found = [(q, i, -v) for best, who in zip(near, askers[start : start + 512], strict=True) for q in who.tolist() for v, i in [x for x in best if x[1] != q][:k]]
+            if found:
+                out.append(pa.table([list(c) for c in zip(*found, strict=True)], schema=kinds))
+        return pa.concat_tables(out) if out else kinds.empty_table()
 
-    found = sent.groupBy("to_dims", "to_shard", "block").cogroup(copies.groupBy("dims", "shard", "block")).applyInArrow(search, "query_id bigint, vec_id bigint, score double")
+    found = sent.groupBy("to_dims", "to_group", "block").cogroup(copies.groupBy("dims", "group", "block")).applyInArrow(search, "query_id bigint, vec_id bigint, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

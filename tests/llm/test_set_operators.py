@@ -210,14 +210,17 @@ def exact(queries, rows, k):
     return out
 
 
-def test_few_vectors_are_searched_exactly(spark):
+@pytest.mark.parametrize("block, group", [(neighbours.BLOCK_BYTES, neighbours.GROUP_BYTES), (200, 1 << 40), (200, 1), (1 << 30, 64 * 5 * 8 * 2)])
+def test_few_vectors_are_searched_exactly(spark, monkeypatch, block, group):
+    monkeypatch.setattr(neighbours, "BLOCK_BYTES", block)
+    monkeypatch.setattr(neighbours, "GROUP_BYTES", group)
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=5).tolist()) for i in range(120)]
     rows += [(200 + i, rows[3][1]) for i in range(60)] + [(300, None), (301, [0.0] * 5), (302, [1.0, None, 1.0, 1.0, 1.0]), (303, [float("nan")] * 5), (304, [float("inf")] * 5)]
     rows += [(305, [1.0, 2.0]), (306, [2.0, 1.0]), (None, [1.0] * 5), (5, rows[5][1]), (307, [])]
     table = vectors(spark, rows)
     asked = table.where("vec_id % 20 = 0 OR vec_id = 305")
-    found = neighbours.nearest(asked, table, k=20, shard=64).collect()
+    found = neighbours.nearest(asked, table, k=20, shard=12).collect()
     assert {(r.query_id, r.rank, r.vec_id) for r in found} == exact({r[0] for r in rows if r[0] is not None and (r[0] % 20 == 0 or r[0] == 305)}, rows, 20)
     by_id = {i: np.array(v, np.float32).astype(float) for i, v in rows if i is not None and v}
     assert all(abs(r.score - by_id[r.query_id] @ by_id[r.vec_id]) < 1e-12 for r in found)

@@ -9,6 +9,7 @@ from suite.kpis import COUNTRY_PROFILE
 from suite.lake import over_fact, rounded, table
 from suite.registry import query
 from terrace.operators import clusters, forest, rollups, stats
+from terrace.operators.tables import by_rows
 from terrace.plans import views
 
 FEATURES = ["titles_count", "movie_count", "tv_count", "avg_movie_duration", "avg_content_age"]
@@ -77,7 +78,7 @@ def standardized_profile(spark, sf):
 def customer_profile(spark, sf):
     """One feature row per director (customer): volume by type, typical length and age, at title grain."""
     titles, bridge = lake.titles(spark, sf), lake.bridges(spark, sf)["silver_directors"]
-    joined = titles.join(bridge, "show_id").filter("director <> 'Unknown Director'")
+    joined = titles.join(by_rows(bridge), "show_id").filter("director <> 'Unknown Director'")
     flags = {"movie_count": F.col("type") == "Movie", "tv_count": F.col("type") == "TV Show"}
     averages = {"avg_movie_duration": ("duration_minutes", 1), "avg_content_age": ("content_age", 1)}
     return rollups.entity_rollup(joined, ["director"], "show_id", flags, averages)

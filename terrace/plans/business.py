@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from terrace.functions import calendar, labels
 from terrace.operators import ranking, rollups
 from terrace.operators.scd import current_view, has_versions
+from terrace.operators.tables import by_rows
 from terrace.plans.star import classic_columns
 from terrace.sources.sinks import run_together, write_table
 
@@ -44,7 +45,7 @@ def kpi_summary(titles: DataFrame) -> DataFrame:
 
 def distribution(titles: DataFrame, bridge: DataFrame, value: str) -> DataFrame:
     """A2: titles per list value with counts by type, largest first."""
-    joined = titles.select("show_id", "type").join(bridge, "show_id")
+    joined = titles.select("show_id", "type").join(by_rows(bridge), "show_id")
     return rollups.count_by(joined, [value], kinds=kinds()).orderBy(F.desc("total_content"), value)
 
 
@@ -54,7 +55,7 @@ def rating_distribution(titles: DataFrame) -> DataFrame:
 
 def top_genres_by_country(titles: DataFrame, country: DataFrame, genres: DataFrame, n: int = 3) -> DataFrame:
     """The genres ranked up to ``n`` in each country, ties kept."""
-    pairs = titles.select("show_id").join(country, "show_id").join(genres, "show_id")
+    pairs = titles.select("show_id").join(by_rows(country), "show_id").join(by_rows(genres), "show_id")
     counted = rollups.count_by(pairs, ["country", "genre"], "genre_count")
     return ranking.top_n_per_group(counted, ["country"], [F.desc("genre_count")], n, "genre_rank")
 
@@ -62,7 +63,7 @@ def top_genres_by_country(titles: DataFrame, country: DataFrame, genres: DataFra
 def director_rankings(titles: DataFrame, directors: DataFrame) -> DataFrame:
     """Directors by number of titles, names breaking ties."""
     known = directors.filter(F.col("director") != "Unknown Director")
-    counted = rollups.count_by(titles.select("show_id").join(known, "show_id"), ["director"], "title_count")
+    counted = rollups.count_by(titles.select("show_id").join(by_rows(known), "show_id"), ["director"], "title_count")
     return ranking.global_rank(counted, [F.desc("title_count"), F.asc("director")], "director_rank")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from terrace.functions.predicates import apply_filters, without
 from terrace.functions.ratios import ratio_pct, round_to
 from terrace.operators import ranking, rollups
+from terrace.operators.tables import by_rows
 from terrace.plans.star import Star
 
 FILTER_COLUMNS = {"country": "country", "genre": "genre", "type": "type", "year": "release_year"}
@@ -26,12 +27,12 @@ def _type_flags(prefix: str = "total_", suffix: str = "") -> dict:
 def with_attributes(star: Star, *attributes: str) -> DataFrame:
     """The fact with natural attributes from its dimensions.
 
-    Dimensions join by surrogate key; small ones are broadcast by their
-    measured size, large ones sort-merge.
+    Dimensions join by surrogate key; those of few counted rows are
+    broadcast, large ones sort-merge.
     """
     df = star.fact
     for a in attributes:
-        df = df.join(star.dims[f"dim_{a}"].select(f"{a}_key", a), f"{a}_key")
+        df = df.join(by_rows(star.dims[f"dim_{a}"].select(f"{a}_key", a)), f"{a}_key")
     return df
 
 
@@ -51,7 +52,7 @@ def general_summary(star: Star) -> DataFrame:
 def _per_member(star: Star, attribute: str, sentinel: str | None, out: str) -> DataFrame:
     """Distinct titles per member: count per surrogate key first, name the members afterwards."""
     counted = rollups.entity_rollup(star.fact, [f"{attribute}_key"], "title_key")
-    named = counted.join(star.dims[f"dim_{attribute}"], f"{attribute}_key").select(F.col(attribute).alias(out), "titles_count")
+    named = counted.join(by_rows(star.dims[f"dim_{attribute}"]), f"{attribute}_key").select(F.col(attribute).alias(out), "titles_count")
     return without(named, out, sentinel) if sentinel else named
 
 
@@ -139,9 +140,9 @@ def executive_row(titles: DataFrame, star: Star) -> DataFrame:
 
 def detail_listing(star: Star, n: int = 15) -> DataFrame:
     """Newest fact rows with their natural attributes."""
-    df = star.fact.join(star.dims["dim_title"].select("title_key", "title"), "title_key")
-    for a in ("country", "genre", "type"):
-        df = df.join(star.dims[f"dim_{a}"].select(f"{a}_key", a), f"{a}_key")
+    # Titles first, while the facts that are shuffled for it hold keys only.
+    titled = star.fact.join(by_rows(star.dims["dim_title"].select("title_key", "title")), "title_key")
+    df = with_attributes(Star(titled, star.dims), "country", "genre", "type")
     picked = df.select("title", "type", "country", "genre", "release_year", "duration_minutes")
     order = [F.desc_nulls_last("release_year"), F.asc("title"), F.asc("country"), F.asc("genre")]
     return ranking.top_n(picked, order, n)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from suite import all_queries, lake
 from terrace.functions import predicates
 from terrace.operators import quality, scd, tables
-from terrace.plans import business, views
+from terrace.plans import business, star as star_layer, views
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,6 +42,46 @@ def test_merge_does_not_shuffle_the_target_for_a_small_batch(spark):
     assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p
 
 
+def _stored_many(spark, tmp_path):
+    """More rows than a broadcast may hold in files far below Spark's broadcast limit."""
+    path = str(tmp_path / "many")
+    spark.range(0, tables.FEW + 50_000, 1, 4).select(F.concat(F.lit("s"), "id").alias("show_id"), F.lit("Kenya").alias("country")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_many_rows_in_small_files_are_not_broadcast(spark, tmp_path):
+    many = _stored_many(spark, tmp_path)
+    titles = many.select("show_id", F.lit("Movie").alias("type"))
+    joins = [
+        tables.matching(titles, many, ["show_id"]),
+        tables.matching(titles, many, ["show_id"], "left_anti"),
+        tables.replace_bridge(many, many, "show_id"),
+        business.distribution(titles, many, "country"),
+        business.top_genres_by_country(titles, many, many.withColumnRenamed("country", "genre")),
+        views.with_attributes(star_layer.Star(many.withColumnRenamed("show_id", "title_key"), {"dim_title": many.toDF("title_key", "title")}), "title"),
+    ]
+    for df in joins:
+        p = plan(df)
+        assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
+
+
+def test_few_rows_are_broadcast_and_joins_are_unchanged(spark, tmp_path):
+    many = _stored_many(spark, tmp_path)
+    few = many.limit(7)
+    assert tables.is_small(few) and not tables.is_small(many)
+    kept = tables.matching(many, few, ["show_id"])
+    assert "BroadcastHashJoin" in plan(kept) and kept.count() == 7
+    assert tables.matching(many, many, ["show_id"]).count() == many.count()
+
+
+def test_star_build_does_not_broadcast_bridges_of_many_rows(spark, tmp_path):
+    many = _stored_many(spark, tmp_path)
+    columns = {"rating": "string", "type": "string", "date_added": "date", "duration_minutes": "int", "season_count": "int", "release_year": "int", "content_age": "int", "ingestion_timestamp": "timestamp"}
+    titles = many.select("show_id", *(F.lit(None).cast(t).alias(c) for c, t in columns.items()))
+    fact = star_layer.build_fact(titles, many, many.toDF("show_id", "genre"), many.toDF("show_id", "director"), "b", "r")
+    assert "BroadcastHashJoin" not in plan(fact)
+
+
 @pytest.mark.parametrize("name", ["country_distribution_view", "genre_shares", "executive_row", "metric_values", "rejected_records", "fact_content"])
 def test_no_cartesian_joins(spark, name):
     p = plan(all_queries()[name](spark, SF))

@@ -8,6 +8,7 @@ from suite import lake
 from suite.lake import over_fact, over_silver, rounded
 from suite.registry import query
 from terrace.operators import ranking, rollups
+from terrace.operators.tables import by_rows
 from terrace.plans import business, star as star_layer, views
 
 
@@ -218,9 +219,10 @@ FROM fact"""
 )
 def fact_content(spark, sf):
     star = lake.star(spark, sf)
-    named = views.with_attributes(star, "country", "genre", "director", "rating", "type")
-    dated = named.join(star.dims["dim_date"].select("date_key", "date_added"), "date_key")
-    return dated.join(star.dims["dim_title"].select("title_key", "show_id"), "title_key").select(
+    # Titles first, while the facts that are shuffled for it hold keys only and a title's facts lie together.
+    titled = star.fact.join(by_rows(star.dims["dim_title"].select("title_key", "show_id")), "title_key")
+    named = views.with_attributes(star_layer.Star(titled, star.dims), "country", "genre", "director", "rating", "type")
+    return named.join(by_rows(star.dims["dim_date"].select("date_key", "date_added")), "date_key").select(
         "show_id", "country", "genre", "director", "rating", "type", "date_added", "release_year",
         "date_key", "duration_minutes", "season_count", "content_age",
     )

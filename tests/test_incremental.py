@@ -1,8 +1,11 @@
+import glob
+import math
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from suite import history, lake
 from terrace.plans import gold, incremental, silver, star
 from terrace.sources import sinks, snapshots
 from terrace.streaming import continuous
@@ -297,3 +300,14 @@ def test_a_run_that_dies_is_run_again(spark, layout, tmp_path, monkeypatch, dies
     ]
     _equals_a_rebuild(spark, both)
     assert both.lake(spark).vacuum(keep=2) == 0  # what the dead run wrote was dropped by the next one
+
+
+def test_streamed_files_follow_the_rows_and_batches_stay_three(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(history, "FILE_ROWS", 200)
+    layout = history._streamed.__wrapped__(spark.sparkContext.applicationId, sf)
+    per_batch = math.ceil(lake.bronze(spark, sf).count() / 600)
+    assert per_batch > 1 and len(glob.glob(f"{layout.root}/bronze/part-*.parquet")) == 3 * per_batch
+    assert layout.lake(spark).snapshot().state["stream bronze"] == 2
+    kept = layout.read(spark, "silver_titles_scd2").select("show_id")
+    assert kept.count() == kept.distinct().count() == lake.titles(spark, sf).count()

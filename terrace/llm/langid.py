@@ -20,6 +20,7 @@ from terrace.llm.common import text_runs
 DIMENSIONS = 1024
 SEED = 20_011
 GRAM_BLOCK = 8192
+TABLE = 1 << 23  # numbers below this are counted in a table, others by sorting
 UNKNOWN = "und"
 
 
@@ -35,14 +36,39 @@ def _symbol(code: int) -> np.ndarray:
     return (rng.integers(0, 2, DIMENSIONS, np.int8) * 2 - 1).astype(np.int8)
 
 
+def _distinct(values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, rising, and the place of each value among them, of whole numbers from 0 to ``below``.
+
+    Numbers of few possible values are found by a table of these, without sorting.
+    """
+    if below > TABLE:
+        return np.unique(values, return_inverse=True)
+    there = np.zeros(below, bool)
+    there[values] = True
+    found = np.flatnonzero(there)
+    place = np.empty(below, np.int32)
+    place[found] = np.arange(len(found), dtype=np.int32)
+    return found, place[values]
+
+
+def _counted(values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, rising, and how often each occurs, of whole numbers from 0 to ``below``."""
+    if below > TABLE:
+        return np.unique(values, return_counts=True)
+    counts = np.bincount(values, minlength=below)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
 class Grams:
     """Letter trigrams of some texts: lower-cased, every run of other characters one boundary symbol.
 
     ``doc``, ``gram``, ``count``: one entry per document and distinct trigram, in document order. ``first``, ``second``,
-    ``third``: the symbols of each distinct trigram.
+    ``third``: the symbols of each distinct trigram. ``groups`` may number the texts otherwise; ``doc`` is then that number,
+    and texts of one number are counted together.
     """
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None], groups: np.ndarray | None = None):
         lowered = [f" {t.lower()} " if t else "" for t in texts]
         codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
         doc = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
@@ -51,13 +77,15 @@ class Grams:
         keep[1:] |= letter[:-1] | (doc[1:] != doc[:-1])  # one boundary per run, and one where a text begins
         keep[0:1] = True
         codes, doc = np.where(letter, codes, 0)[keep], doc[keep]
-        symbols, at = np.unique(codes, return_inverse=True)
+        symbols, at = _distinct(codes, 0x110000)
+        at = at.astype(np.int64)
         whole = (doc[2:] == doc[:-2]) if len(doc) > 2 else np.zeros(0, bool)
         s = len(symbols)
         packed = ((at[:-2] * s + at[1:-1]) * s + at[2:])[whole] if len(doc) > 2 else np.zeros(0, np.int64)
-        grams, which = np.unique(packed, return_inverse=True)
-        pair = doc[2:][whole] * max(len(grams), 1) + which if len(grams) else np.zeros(0, np.int64)
-        pairs, self.count = np.unique(pair, return_counts=True)
+        grams, which = _distinct(packed, s**3)
+        owner, owners = (doc, len(texts)) if groups is None else (groups[doc], int(groups.max(initial=-1)) + 1)
+        pair = owner[2:][whole] * max(len(grams), 1) + which if len(grams) else np.zeros(0, np.int64)
+        pairs, self.count = _counted(pair, owners * max(len(grams), 1))
         self.doc, self.gram = np.divmod(pairs, max(len(grams), 1))
         self.first, self.second, self.third = (symbols[x] for x in (grams // (s * s), grams // s % s, grams % s)) if s else (grams,) * 3
         self.n = len(grams)
@@ -100,13 +128,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
             labels = part.column(1).to_pylist()
             names = sorted(set(labels))
             number = {x: i for i, x in enumerate(names)}
-            grams = Grams(texts)
-            # entries of one label next to each other, with the counts of equal trigrams added up
-            of = np.array([number[x] for x in labels])[grams.doc] * max(grams.n, 1) + grams.gram
-            entries, at = np.unique(of, return_inverse=True)
-            grams.count = np.bincount(at, grams.count, len(entries)).astype(np.int64)
-            owner, grams.gram = np.divmod(entries, max(grams.n, 1))
-            for name, bundle in zip(names, grams.bundles(owner, len(names)), strict=True):
+            grams = Grams(texts, np.array([number[x] for x in labels], np.int64))
+            for name, bundle in zip(names, grams.bundles(grams.doc, len(names)), strict=True):
                 sums[name] = sums.get(name, 0) + bundle
         for name, bundle in sums.items():
             place = pa.array(np.arange(DIMENSIONS, dtype=np.int32))

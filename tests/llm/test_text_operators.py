@@ -90,6 +90,22 @@ def test_language_bundles_equal_a_plain_sum():
         assert np.array_equal(total, bundle)
 
 
+def test_language_trigrams_are_the_same_by_table_and_by_sorting(monkeypatch):
+    texts = ["The cat, the hat.", None, "", "ÉTÉ 12 été", "\U0001d51e漢字 the cat"]
+    fields = ("doc", "gram", "count", "first", "second", "third", "has_letter")
+    groups = np.array([1, 0, 1, 0, 1])
+    tabled, joined = langid.Grams(texts), langid.Grams(texts, groups)
+    assert np.array_equal(joined.bundles(joined.doc, 2), [tabled.bundles(tabled.doc, 5)[groups == g].sum(axis=0) for g in (0, 1)])
+    monkeypatch.setattr(langid, "TABLE", 0)
+    for before, after in ((tabled, langid.Grams(texts)), (joined, langid.Grams(texts, groups))):
+        assert all(np.array_equal(getattr(before, f), getattr(after, f)) for f in fields)
+
+
+def test_language_trigrams_of_plain_texts_need_no_sorting(monkeypatch):
+    monkeypatch.setattr(langid.np, "unique", None)
+    assert langid.Grams(["the cat and the hat", "le chat"]).n == 19
+
+
 def test_language_of_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = QUERIES["op1_language"](spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

@@ -27,6 +27,7 @@ PASSES = 4  # over all unlabelled rows
 UNIT = 1 << 20  # sums over all rows are of whole multiples of 1 / UNIT, so that they are the same however rows are dealt
 CHARACTERS = 128  # hash buckets of character frequencies
 BINS = 10  # quantile bins of each measure
+BLOCK = 4096  # rows whose weights are looked up together
 THRESHOLD = 0.3
 WORD = re.compile(r"\S+").findall
 SENTENCE_END = tuple(".!?")
@@ -95,6 +96,23 @@ def bins(edges: np.ndarray, measured: np.ndarray) -> np.ndarray:
     return out
 
 
+class Places:
+    """Rows of bins, a byte per measure. Works through blocks of rows or single measures, so that no wide copy of all rows is made."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows, self.columns = rows, np.ascontiguousarray(rows.T)
+        self.first = np.arange(rows.shape[1], dtype=np.int32) * BINS
+
+    def weights(self, w: np.ndarray) -> np.ndarray:
+        """The sum of the weights of each row's bins."""
+        blocks = range(0, len(self.rows), BLOCK)
+        return np.concatenate([w[self.rows[i : i + BLOCK] + self.first].sum(axis=1) for i in blocks])
+
+    def totals(self, values: np.ndarray, start: int = 0) -> np.ndarray:
+        """The sum of a value per row over the rows of each bin of each measure, from the row ``start`` on."""
+        return np.concatenate([np.bincount(c[start:], values, BINS) for c in self.columns])
+
+
 def fit(
     positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 600, rate: float = 0.03, decay: float = 2e-4,
     edges: np.ndarray | None = None, whole: Whole | None = None,
@@ -106,20 +124,19 @@ def fit(
     """
     edges = cut_points(np.vstack([positive, unlabelled])) if edges is None else edges
     width, n = len(edges), len(positive)
-    place = np.concatenate([bins(edges, positive), bins(edges, unlabelled)]) + np.arange(width, dtype=np.int32) * BINS
+    place = Places(np.concatenate([bins(edges, positive), bins(edges, unlabelled)]))
     slots = width * BINS
     w, bias = np.zeros(slots), float(np.log(prior / (1 - prior)))
     first, second, fb, sb = np.zeros(slots), np.zeros(slots), 0.0, 0.0
-    flat = place.ravel()
     passes = {rounds // 2 + i * (rounds // 2) // PASSES + 1 for i in range(PASSES)} if whole else set()
     shift, shift_bias, level = np.zeros(slots), 0.0, 0.0  # from the drawn rows to all of them
     for step in range(1, rounds + 1):
-        g = w[place].sum(axis=1) + bias
+        g = place.weights(w) + bias
         p = 1 / (1 + np.exp(-np.clip(g, -40, 40)))
         loss_minus = np.logaddexp(0, g)
         if step in passes:
             loss, slope, slope_bias = whole(w, bias)
-            shift = slope - np.bincount(flat[n * width :], np.repeat(p[n:], width), slots) / (len(g) - n)
+            shift = slope - place.totals(p[n:], n) / (len(g) - n)
             shift_bias = slope_bias - p[n:].mean()
             level = loss - loss_minus[n:].mean() - shift @ w - shift_bias * bias
         pull = np.zeros(len(g))
@@ -131,7 +148,7 @@ def fit(
             sign = -1
             pull[:n] = prior * p[:n] / n
         pull[n:] = sign * p[n:] / (len(g) - n)
-        grad = np.bincount(flat, np.repeat(pull, width), slots) + sign * shift + decay * w
+        grad = place.totals(pull) + sign * shift + decay * w
         gb = pull.sum() + sign * shift_bias
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         fb, sb = 0.9 * fb + 0.1 * gb, 0.999 * sb + 0.001 * gb**2
@@ -164,8 +181,8 @@ def whole_loss(rows: DataFrame, width: int) -> Whole:
             w, bias = shipped.value
             total = np.zeros(slots + 3, np.int64)
             for batch in batches:
-                for start in range(0, len(batch), 4096):
-                    raw = b"".join(batch.column(0).slice(start, 4096).to_pylist())
+                for start in range(0, len(batch), BLOCK):
+                    raw = b"".join(batch.column(0).slice(start, BLOCK).to_pylist())
                     place = np.frombuffer(raw, np.uint8).reshape(-1, width) + np.arange(width, dtype=np.int32) * BINS
                     g = w[place].sum(axis=1) + bias
                     p = np.rint(UNIT / (1 + np.exp(-np.clip(g, -40, 40))))
@@ -191,6 +208,11 @@ def _measured(docs: DataFrame, key: str, text: str) -> DataFrame:
     return cols.mapInArrow(run, f"k {cols.schema['k'].dataType.simpleString()}, x array<double>")
 
 
+def _matrix(rows: pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as a matrix, without a Python object per number."""
+    return rows.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1 if len(rows) else 0)
+
+
 def _drawn(keys: DataFrame, n: int, most: int, seed: int) -> DataFrame:
     """About ``most`` of ``n`` distinct keys, drawn by hash: the same ones wherever the rows lie."""
     share = min(1.0, most / max(n, 1))
@@ -219,8 +241,8 @@ def train(
     def rows(keys: DataFrame) -> np.ndarray:
         """Measures of at most about ``sample`` documents, one row per key."""
         chosen = docs.withColumnRenamed(key, "k").select("k", text).join(F.broadcast(keys), "k", "left_semi")
-        drawn = _measured(chosen, "k", text).groupBy("k").agg(F.min("x").alias("x"))
-        return np.array(drawn.toPandas().sort_values("k")["x"].tolist())
+        drawn = _measured(chosen, "k", text).groupBy("k").agg(F.min("x").alias("x")).toArrow()
+        return _matrix(drawn.sort_by("k")["x"])
 
     positive = rows(_drawn(known.where("good = 1").select("k"), int(good), sample, 1))
     unlabelled = rows(_drawn(ids, n, sample, 2))

@@ -133,6 +133,20 @@ def test_quality_of_held_out_texts(spark):
     assert np.mean([s >= quality.THRESHOLD for s in good]) > 0.98 and np.mean([s < quality.THRESHOLD for s in bad]) > 0.9
 
 
+def test_quality_fit_makes_no_wide_copies():
+    """The rounds hold a byte per measure of the rows, not their weights: the driver has no room for these."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    positive, unlabelled = rng.normal(size=(10_000, 150)) + 0.3, rng.normal(size=(10_000, 150))
+    edges = quality.cut_points(np.vstack([positive, unlabelled]))
+    tracemalloc.start()
+    quality.fit(positive, unlabelled, 0.3, rounds=3, edges=edges)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000 * 150 * 8
+
+
 def test_quality_of_odd_texts(spark):
     docs = frame(spark, ODD)
     nothing = quality.train(docs, frame(spark, [], "doc_id long, quality int"))

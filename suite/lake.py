@@ -51,7 +51,8 @@ def raw_catalog(spark: SparkSession, sf: str) -> DataFrame:
     def listed(c: str):
         return F.array_join(F.sort_array(F.collect_set(c)), ", ")
 
-    lists = joined.groupBy("l_orderkey").agg(
+    # Lines meet their order's others before lists are made: as names they take less shuffle than as lists of one or two.
+    lists = joined.repartition("l_orderkey").groupBy("l_orderkey").agg(
         listed("s_name").alias("_cast"), listed("n_name").alias("_country"), listed("p_type").alias("_genres")
     )
     orders = table(spark, sf, "orders").join(

@@ -52,13 +52,12 @@ class Silver:
 
 def clean(raw: DataFrame, defaults: Mapping[str, str] = BLANK_DEFAULTS) -> DataFrame:
     """Text squashed and defaulted, type canonical, rating defaulted, date parsed into ``parsed_date``."""
-    tidy: dict[str, Column] = {
-        c: text.fill_blank(text.squash_space(F.col(c)), defaults.get(c, "Unknown")) for c in TEXT_COLUMNS
-    }
+    tidy: dict[str, Column] = {c: text.fill_blank(F.col(c), defaults.get(c, "Unknown")) for c in TEXT_COLUMNS}
     tidy["type"] = text.canonicalize(F.col("type"), TYPES)
     tidy["rating"] = F.trim(text.fill_blank(F.col("rating"), defaults.get("rating", "UR")))
     tidy["parsed_date"] = text.parse_date(F.col("date_added"))
-    return raw.withColumns(tidy)
+    # Squashed in a step of its own, so that each text is squashed once and not for the test and again for the value.
+    return raw.withColumns({c: text.squash_space(F.col(c)) for c in TEXT_COLUMNS}).withColumns(tidy)
 
 
 def enrich(cleaned: DataFrame, as_of_year: int) -> DataFrame:

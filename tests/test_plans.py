@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from suite import all_queries, lake
 from terrace.functions import predicates
 from terrace.operators import quality, scd, tables
-from terrace.plans import business, star as star_layer, views
+from terrace.plans import business, silver, star as star_layer, views
 
 SF = "/root/testdata/sf0.001"
 
@@ -107,3 +107,14 @@ def test_watermark_prunes_bronze_partitions(spark, tmp_path):
     newer = predicates.newer_than(stored, "ts", datetime(2024, 1, 15, 12), "ingestion_date")
     assert newer.count() == stored.filter("ts > TIMESTAMP '2024-01-15 12:00:00'").count() > 0
     assert "PartitionFilters: [isnotnull(ingestion_date" in plan(newer) and "GreaterThan(ts," in plan(newer)
+
+
+def test_each_text_is_squashed_once(spark):
+    rows = spark.createDataFrame([("a",) * len(silver.RAW_COLUMNS)], silver.RAW_COLUMNS)
+    optimized = silver.clean(rows.repartition(2))._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("regexp_replace") == len(silver.TEXT_COLUMNS)
+
+
+def test_lines_are_shuffled_as_rows_and_not_as_lists(spark):
+    lists = plan(lake.raw_catalog(spark, SF)).rsplit("partial_collect_set", 1)[1]
+    assert lists.lstrip().split("Exchange", 1)[1].startswith(" hashpartitioning(l_orderkey")

@@ -226,5 +226,5 @@ UNION ALL SELECT show_id, genre FROM silver_genres WHERE show_id IN (SELECT show
 def replaced_bridge(spark, sf):
     bridges = lake.bridges(spark, sf)
     of_2000 = lake.titles(spark, sf).filter("release_year = 2000").select("show_id")
-    incoming = bridges["silver_genres"].join(tables.by_rows(of_2000), "show_id", "left_semi").withColumnRenamed("genre", "country")
+    incoming = tables.filtered_by(bridges["silver_genres"], of_2000, "show_id", "left_semi").withColumnRenamed("genre", "country")
     return tables.replace_bridge(bridges["silver_country"], incoming, "show_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
@@ -16,6 +17,8 @@ from terrace.functions import text
 
 # A join's side is broadcast up to this many rows.
 FEW = 100_000
+# Rows a task takes where both sides of a join are dealt by counted rows.
+TASK_ROWS = 500_000
 
 
 # --- joins --------------------------------------------------------------------------------------
@@ -126,6 +129,19 @@ def matching(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "left
     return ours.join(by_rows(theirs), same, how)
 
 
+def filtered_by(df: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
+    """Rows with (``left_semi``) or without (``left_anti``) one of the keys.
+
+    Few keys are broadcast. Else the keys are dealt over tasks of about ``TASK_ROWS`` counted rows of ``df``, and Spark deals the rows
+    alike (finer, where the session's number of partitions is larger). So what a task sorts does not grow with the tables.
+    """
+    keys = keys.select(on)
+    if is_small(keys):
+        return df.join(F.broadcast(keys), on, how)
+    tasks = max(math.ceil(df.count() / TASK_ROWS), 1)
+    return df.join(keys.repartition(tasks, on).hint("merge"), on, how)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], on_conflict: str = "update") -> DataFrame:
     """Keyed upsert. ``source`` holds one row per key; ``on_conflict`` is "update" or "nothing"."""
     source = align_to(source, target.schema)
@@ -190,5 +206,5 @@ def explode_list(df: DataFrame, key: str, col: str, out: str, initcap: bool = Fa
 
 def replace_bridge(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Every incoming key loses all its target rows and gets the incoming ones."""
-    kept = target.join(by_rows(incoming.select(key).distinct()), key, "left_anti")
+    kept = filtered_by(target, incoming, key, "left_anti")
     return kept.select(*target.columns).unionByName(incoming.select(*target.columns))

@@ -1,5 +1,6 @@
 """Shapes of physical plans that matter at scale."""
 
+import math
 from datetime import date, datetime
 
 import pytest
@@ -118,3 +119,23 @@ def test_each_text_is_squashed_once(spark):
 def test_lines_are_shuffled_as_rows_and_not_as_lists(spark):
     lists = plan(lake.raw_catalog(spark, SF)).rsplit("partial_collect_set", 1)[1]
     assert lists.lstrip().split("Exchange", 1)[1].startswith(" hashpartitioning(l_orderkey")
+
+
+def test_a_replaced_bridge_is_dealt_by_its_rows(spark, tmp_path, monkeypatch):
+    many = _stored_many(spark, tmp_path)
+    monkeypatch.setattr(tables, "TASK_ROWS", 20_000)
+    replaced = tables.replace_bridge(many, many.filter("show_id < 's9'").withColumn("country", F.lit("Peru")), "show_id")
+    dealt = [line for line in plan(replaced).splitlines() if "Exchange" in line]
+    assert len(dealt) == 2 and all(f", {math.ceil(many.count() / 20_000)}), " in line for line in dealt)
+    assert dict(replaced.groupBy("country").count().collect()) == {"Kenya": many.filter("show_id >= 's9'").count(), "Peru": many.filter("show_id < 's9'").count()}
+    assert "BroadcastHashJoin" in plan(tables.filtered_by(many, many.limit(3), "show_id", "left_anti"))
+
+
+def test_null_keys_of_a_bridge_stay(spark, monkeypatch):
+    old = spark.createDataFrame([(None, "a"), ("s1", "a"), ("s1", "a"), ("s2", "b")], "show_id string, country string")
+    new = spark.createDataFrame([(None, "x"), ("s1", "y"), ("s1", "z")], "show_id string, country string")
+    for limit in (0, 100):
+        monkeypatch.setattr(tables.is_small, "__defaults__", (limit,))
+        assert sorted(map(str, (tuple(r) for r in tables.replace_bridge(old, new, "show_id").collect()))) == sorted(
+            map(str, [(None, "a"), ("s2", "b"), (None, "x"), ("s1", "y"), ("s1", "z")])
+        )

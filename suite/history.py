@@ -212,9 +212,8 @@ def _three_runs(app: str, sf: str) -> incremental.Layout:
     """A full run, a run over re-delivered urgent titles, and a run that finds nothing new."""
     spark = SparkSession.active()
     root = f"{workspace(spark)}/pipeline-{uuid.uuid4().hex}"
-    first, second = f"{root}/bronze/first", f"{root}/bronze/second"
     raw = lake.bronze(spark, sf)
-    raw.write.parquet(first)
+    first, second = lake.bronze_path(spark, sf), f"{root}/bronze/second"
     start = incremental.Layout([first], root)
     incremental.run_pipeline(spark, start, batch_id="b1", run_id="r1", as_of=T1.date(), now=T1, full=True)
     raw.filter("rating = '1-URGENT'").withColumns(

@@ -239,18 +239,19 @@ class Steps:
 
 
 def _judge(delta: DataFrame, rules: quality.Rules | None, run_id: str) -> tuple[DataFrame, dict[str, Any]]:
-    """The delta with reject reasons, and its counts and next watermark, in one pass."""
-    seen = Observation(f"delta-{run_id}")
+    """The delta with reject reasons, and its counts and next watermark; judged rows are written once."""
     judged = quality.with_reasons(delta, rules) if rules else delta.withColumn("reasons", F.array().cast("array<string>"))
     nulls = sum((F.count_if(F.col(c).isNull()) for c in silver_layer.TEXT_COLUMNS), F.lit(0))
-    observed = judged.observe(
-        seen,
+    counts = (
         F.count("*").alias("processed"),
         F.count_if(F.size("reasons") > 0).alias("rejected"),
         nulls.alias("nulls_handled"),
         F.max("ingestion_timestamp").alias("watermark"),
     )
-    return sinks.stage(observed, "judged"), seen.get
+    if not rules:  # nothing is worked out per row, so the rows are counted where they lie and not written once more
+        return judged, judged.agg(*counts).first().asDict()
+    seen = Observation(f"delta-{run_id}")
+    return sinks.stage(judged.observe(seen, *counts), "judged"), seen.get
 
 
 def _clean(passed: DataFrame, as_of: date, order: Sequence | None, run_id: str) -> tuple[silver_layer.Silver, dict[str, Any]]:

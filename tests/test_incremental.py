@@ -311,3 +311,11 @@ def test_streamed_files_follow_the_rows_and_batches_stay_three(spark, monkeypatc
     assert layout.lake(spark).snapshot().state["stream bronze"] == 2
     kept = layout.read(spark, "silver_titles_scd2").select("show_id")
     assert kept.count() == kept.distinct().count() == lake.titles(spark, sf).count()
+
+
+def test_rows_without_rules_are_counted_and_not_written_again(spark, layout, monkeypatch):
+    names, stage = [], sinks.stage
+    monkeypatch.setattr(sinks, "stage", lambda df, name="stage": names.append(name) or stage(df, name))
+    one = _run(spark, layout, 1, full=True)
+    assert (one.processed, one.rejected, one.nulls_handled) == (2, 0, 0) and one.watermark is not None
+    assert "cleaned" in names and "judged" not in names

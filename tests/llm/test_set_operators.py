@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -180,6 +181,19 @@ def test_repeated_rows_share_their_result(spark):
     assert suffixes.remove_repeats(documents(spark, [])).count() == 0
 
 
+def test_characters_that_lost_bytes_go_whole_without_a_second_python_pass(spark):
+    rng = random.Random(6)
+    whole = "".join(map(chr, [0, 36, 0x7F, 0x80, 0x7FF, 0x800, 0xD7FF, 0xE000, 0xFFFD, 0xFFFF, 0x10000, 0x3FFFF, 0x40000, 0x10FFFF])).encode() * 4
+    cut = [bytes(b for b in whole if rng.random() < p) for p in (0.5, 0.8, 0.95) for _ in range(60)]
+    noise = [bytes(rng.choice(b"a\x80\x90\x9f\xa0\xbf\xc0\xc1\xc2\xdf\xe0\xe1\xed\xef\xf0\xf1\xf4\xf5\xff") for _ in range(40)) for _ in range(200)]
+    rows = [b"", whole, whole * 20_000, (b"\x9f" + whole) * 20_000, *cut, *noise]
+    removed = spark.createDataFrame([(i, bytearray(b), "old") for i, b in enumerate(rows)], "doc_id long, _kept binary, _kept_text string")
+    found = suffixes.kept_text(removed).select("doc_id", "_kept_text").collect()
+    assert {r.doc_id: r._kept_text for r in found} == {i: b.decode("utf-8", "ignore") for i, b in enumerate(rows)}
+    cut = corpus_pipeline.remove_repeated_strings(spark, documents(spark, repeating(1)), SF)
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_columns_equal_sorted_windows():
     rng = random.Random(2)
     core = bytes(rng.randrange(97, 100) for _ in range(160))
@@ -195,6 +209,22 @@ def test_columns_equal_sorted_windows():
         seen |= {t[s : s + 100] for s in range(len(t) - 99)}
 
 
+def test_a_large_bucket_is_laid_out_in_slices():
+    rng = np.random.default_rng(3)
+    n, core = 16_384, bytes(rng.integers(97, 100, 160).astype(np.uint8))
+    texts = [bytes(rng.integers(97, 123, 2).astype(np.uint8)) * (i % 9) + core + b"z" * (i % 5) for i in range(n)]
+    anchors = np.array([2 * (i % 9) + 60 for i in range(n)])
+    own = np.full(n, suffixes.gram_hashes(np.frombuffer(core[60:84], np.uint8))[0])
+    tracemalloc.start()
+    try:
+        assert (suffixes.anchors_of(texts, own) == anchors).all()
+        removed, kept, _ = suffixes.column_wise(texts, anchors, np.arange(n))
+        assert tracemalloc.get_traced_memory()[1] < 32e6
+    finally:
+        tracemalloc.stop()
+    assert kept[:, 30].sum() == 1 and kept[0, 30] and removed[1:, 30].all()
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(*r, 1.0) for r in rows], "vec_id long, embedding array<float>, score double")
 

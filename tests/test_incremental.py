@@ -1,5 +1,6 @@
 import glob
 import math
+import time
 from datetime import date, datetime
 
 import pytest
@@ -319,3 +320,37 @@ def test_rows_without_rules_are_counted_and_not_written_again(spark, layout, mon
     one = _run(spark, layout, 1, full=True)
     assert (one.processed, one.rejected, one.nulls_handled) == (2, 0, 0) and one.watermark is not None
     assert "cleaned" in names and "judged" not in names
+
+
+def test_buckets_are_rewritten_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "SLICE", 2, raising=False)
+    data = [_record(f"s{i}", f"Title {i}", f"Land {i % 9}, Peru") for i in range(200)]
+    layout = incremental.Layout([_bronze(spark, tmp_path, 0, data)], str(tmp_path / "lake"), bucket_rows=40)
+    _run(spark, layout, 1, full=True)
+    sliced = {"r1": ["fact_content"], "r2": ["silver_titles_scd2", *silver.BRIDGES, "fact_content", "dim_title"]}
+    _equals_a_rebuild(spark, layout)
+    delta = [_record(f"s{i}", f"Title {i} again", f"Land {i % 5}") for i in range(100, 300)]
+    both = incremental.Layout([*layout.bronze, _bronze(spark, tmp_path, 1, delta)], layout.root, bucket_rows=40)
+    for n, run in enumerate(sliced, 1):
+        if n == 2:
+            _run(spark, both, 2)
+            _equals_a_rebuild(spark, both)
+        for name in sliced[run]:
+            parts = both.lake(spark).snapshot().tables[name].parts
+            writes = [p.split("/")[1] for p in parts.values()]
+            assert len(parts) == 5 and max(map(writes.count, writes)) == 2, (run, name)
+
+
+def test_shuffle_files_go_with_their_action(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.length()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    with sinks.freeing(spark):
+        kept = sinks.stage(spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 5).alias("k")).count())
+        deadline = time.time() + 30
+        while shuffled() - before and time.time() < deadline:
+            time.sleep(0.2)
+        assert not shuffled() - before and kept.count() == 5
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == setting
